@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import canonical, components, disguise, survivorship
+from . import canonical, components, disguise, leakage, markup, packing, survivorship
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -34,12 +34,41 @@ def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return components.connected_groups(components.merge_pairs(table(spark, sf, "merge_decisions")))
 
 
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    chunks = markup.markup_kinds(table(spark, sf, "chunks"), "chunks", "chunk_id", "content")
+    return chunks.union(markup.markup_kinds(table(spark, sf, "triples_raw"), "triples_raw", "triple_id", "evidence"))
+
+
+def p7_clean(spark: SparkSession, sf: str) -> DataFrame:
+    chunks = markup.without_markup(table(spark, sf, "chunks"), "chunks", "chunk_id", "content")
+    return chunks.union(markup.without_markup(table(spark, sf, "triples_raw"), "triples_raw", "triple_id", "evidence"))
+
+
+def p8_packed(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(table(spark, sf, "documents"))
+
+
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    return leakage.leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items")).select("doc_id", "item_id")
+
+
+def p9_leaked_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Of each leaked item how many documents hold part of it, and the most of it that one document holds."""
+    found = leakage.leaks(table(spark, sf, "documents"), table(spark, sf, "eval_items"))
+    return found.groupBy("item_id").agg(F.count("*").alias("documents"), F.max("coverage").alias("most_covered"), F.max("longest").alias("longest"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_currency": p3_currency,
     "p4_found": p4_found,
     "p6_found": p6_found,
+    "p7_found": p7_found,
+    "p7_clean": p7_clean,
+    "p8_packed": p8_packed,
+    "p9_found": p9_found,
+    "p9_leaked_items": p9_leaked_items,
 }
 
 SQL: dict[str, str] = {
