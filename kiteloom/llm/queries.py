@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import canonical, components, disguise, leakage, markup, packing, survivorship
+from . import abuse, canonical, components, disguise, leakage, markup, packing, survivorship
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -58,6 +58,14 @@ def p9_leaked_items(spark: SparkSession, sf: str) -> DataFrame:
     return found.groupBy("item_id").agg(F.count("*").alias("documents"), F.max("coverage").alias("most_covered"), F.max("longest").alias("longest"))
 
 
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    return abuse.found(table(spark, sf, "documents"), table(spark, sf, "doc_labels"))
+
+
+def p10_source_rates(spark: SparkSession, sf: str) -> DataFrame:
+    return abuse.source_rates(table(spark, sf, "documents"), table(spark, sf, "doc_labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p3_found": p3_found,
@@ -69,6 +77,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p8_packed": p8_packed,
     "p9_found": p9_found,
     "p9_leaked_items": p9_leaked_items,
+    "p10_found": p10_found,
+    "p10_source_rates": p10_source_rates,
 }
 
 SQL: dict[str, str] = {
