@@ -8,7 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import abuse, canonical, components, disguise, leakage, markup, packing, survivorship
+from . import abuse, canonical, components, disguise, leakage, markup, neighbors, packing, survivorship
+
+
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    return neighbors.similar_pairs(table(spark, sf, "entity_vectors")).select("node_a", "node_b")
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -67,6 +71,7 @@ def p10_source_rates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p1_found": p1_found,
     "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_currency": p3_currency,
