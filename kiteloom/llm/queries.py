@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import abuse, canonical, components, disguise, leakage, markup, neighbors, packing, survivorship
+from . import abuse, canonical, components, disguise, leakage, markup, neighbors, packing, scans, survivorship
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
@@ -34,6 +34,14 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return names.union(ends).select("src", "row_id", "field")
 
 
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    return scans.noise_lines(table(spark, sf, "ocr_pages"), table(spark, sf, "chunks"))
+
+
+def p5_repaired(spark: SparkSession, sf: str) -> DataFrame:
+    return scans.repaired(table(spark, sf, "ocr_pages"), table(spark, sf, "chunks"))
+
+
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     return components.connected_groups(components.merge_pairs(table(spark, sf, "merge_decisions")))
 
@@ -76,6 +84,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p3_found": p3_found,
     "p3_currency": p3_currency,
     "p4_found": p4_found,
+    "p5_found": p5_found,
+    "p5_repaired": p5_repaired,
     "p6_found": p6_found,
     "p7_found": p7_found,
     "p7_clean": p7_clean,
