@@ -6,5 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
+from . import merging
+
+_PARTS = (merging,)
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: f for p in _PARTS for k, f in p.QUERIES.items()}
+SQL: dict[str, str] = {k: s for p in _PARTS for k, s in p.SQL.items()}
