@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import evaluating, merging, resolving
+from . import evaluating, extracting, merging, resolving
 
-_PARTS = (merging, evaluating, resolving)
+_PARTS = (merging, evaluating, resolving, extracting)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: f for p in _PARTS for k, f in p.QUERIES.items()}
 SQL: dict[str, str] = {k: s for p in _PARTS for k, s in p.SQL.items()}

@@ -156,12 +156,12 @@ tl AS MATERIALIZED (SELECT * FROM li WHERE source IN (SELECT name FROM tn) AND t
 _FINE = lambda a: f"len({a}) = 64 AND list_bool_and(list_transform({a}, lambda x: x IS NOT NULL AND isfinite(x))) AND list_bool_or(list_transform({a}, lambda x: x <> 0))"
 
 SQL = {
-    "knn_candidates": f"""WITH v AS MATERIALIZED (SELECT node_id, type, TRY_CAST(embedding AS DOUBLE[64]) AS e FROM entity_vectors WHERE type IS NOT NULL AND CASE WHEN embedding IS NULL THEN false WHEN len(embedding) <> 64 THEN false ELSE {_FINE('embedding')} END),
-p AS (SELECT l.node_id AS left_id, r.node_id AS right_id, round(array_cosine_similarity(l.e, r.e), 6) AS score FROM v l JOIN v r ON l.type = r.type AND l.node_id <> r.node_id),
+    "knn_candidates": f"""WITH v AS MATERIALIZED (SELECT node_id, type, embedding::DOUBLE[] AS e FROM entity_vectors WHERE type IS NOT NULL AND CASE WHEN embedding IS NULL THEN false WHEN len(embedding) <> 64 THEN false ELSE {_FINE('embedding')} END),
+p AS (SELECT l.node_id AS left_id, r.node_id AS right_id, round(list_cosine_similarity(l.e, r.e), 6) AS score FROM v l JOIN v r ON l.type = r.type AND l.node_id <> r.node_id),
 k AS (SELECT *, row_number() OVER (PARTITION BY left_id ORDER BY score DESC, right_id) AS n FROM p)
 SELECT left_id, right_id, score FROM k WHERE n <= 10 AND score >= 0.78 AND left_id < right_id""",
-    "rescored_candidates": f"""WITH v AS MATERIALIZED (SELECT node_id, TRY_CAST(embedding AS DOUBLE[64]) AS e FROM entity_vectors WHERE CASE WHEN embedding IS NULL THEN false WHEN len(embedding) <> 64 THEN false ELSE {_FINE('embedding')} END)
-SELECT candidate_id, round(array_cosine_similarity(l.e, r.e), 6) AS cosine FROM merge_candidates LEFT JOIN v l ON left_id = l.node_id LEFT JOIN v r ON right_id = r.node_id""",
+    "rescored_candidates": f"""WITH v AS MATERIALIZED (SELECT node_id, embedding::DOUBLE[] AS e FROM entity_vectors WHERE CASE WHEN embedding IS NULL THEN false WHEN len(embedding) <> 64 THEN false ELSE {_FINE('embedding')} END)
+SELECT candidate_id, round(list_cosine_similarity(l.e, r.e), 6) AS cosine FROM merge_candidates LEFT JOIN v l ON left_id = l.node_id LEFT JOIN v r ON right_id = r.node_id""",
     "decisions_validated": f"""WITH d AS (SELECT *, lower({S.text('decision')}) AS w, list_filter(list_transform(coalesce(supporting_evidence_ids, []), lambda x: {S.strip('x')}), lambda x: x <> '') AS s,
   list_filter(list_transform(coalesce(conflict_evidence_ids, []), lambda x: {S.strip('x')}), lambda x: x <> '') AS c, coalesce(supporting_evidence_ids, []) || coalesce(conflict_evidence_ids, []) AS shown FROM merge_decisions),
 p AS (SELECT w, CASE WHEN w NOT IN ('merge', 'keep_separate', 'unsure') THEN 'INVALID_DECISION' WHEN NOT list_has_all(shown, s) OR NOT list_has_all(shown, c) THEN 'UNKNOWN_EVIDENCE'
