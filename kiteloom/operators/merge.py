@@ -72,7 +72,7 @@ def typed_triples(merged: DataFrame, entities: DataFrame) -> DataFrame:
 
 
 def graph_stats(entities: DataFrame, triples: DataFrame) -> DataFrame:
-    """Totals and counts by type and by relation, each table read once."""
+    """Totals and counts by type and by relation, each table read once; empty tables have no rows."""
     e = entities.groupingSets([[], ["type"]], "type").agg(F.count("*").alias("n"), F.grouping("type").alias("g"))
     t = triples.groupingSets([[], ["relation"]], "relation").agg(F.count("*").alias("n"), F.grouping("relation").alias("g"))
     said = lambda df, key, total, by: df.select(F.when(F.col("g") == 1, F.lit(total)).otherwise(F.lit(by)).alias("stat"), F.when(F.col("g") == 1, F.lit("")).otherwise(F.col(key)).alias("key"), "n")
