@@ -72,6 +72,7 @@ class DeleteIndex:
 
     def __init__(self, terms: dict[str, float], most):
         self.terms, self.most = terms, most
+        self.longest = max((len(t) + most(t) for t in terms), default=0)
         self.table: dict[str, list[str]] = defaultdict(list)
         for t in terms:
             for d in set(_deletes(t, most(t))):
@@ -81,6 +82,8 @@ class DeleteIndex:
         """The nearest term by distance, then weight, then spelling; None if none is near enough."""
         if word in self.terms:
             return word
+        if len(word) > self.longest:  # no term is near enough
+            return None
         found = {t for d in set(_deletes(word, self.most(word))) for t in self.table.get(d, ())}
         scored = [(distance(word, t), -self.terms[t], t) for t in found]
         scored = [x for x in scored if x[0] <= self.most(x[2])]
@@ -220,7 +223,7 @@ class Matcher:
             stripped = self._strip(zh)
             for x in dict.fromkeys((zh, stripped)):
                 tries.append(x)
-                tries += [x[:i] + x[i + 1 :] for i, c in enumerate(x) if c in ZH_INSIDE]
+                tries += [] if len(x) > self.forms.longest + 1 else [x[:i] + x[i + 1 :] for i, c in enumerate(x) if c in ZH_INSIDE]
         for x in tries:
             if x in self.form:
                 return self.by_parts.get(self.form[x], 0)
@@ -255,6 +258,8 @@ class Matcher:
         if known.count(None) != 1 or len(taken) != 2:
             return None
         i = known.index(None)
+        if len(tokens[i]) > self.words.longest:
+            return None
         near = sorted((distance(tokens[i], w), w) for w, s in self.slot.items() if s not in taken)[:2]
         if len(tokens[i]) < 3 or near[0][0] > 2.0 or len(near) > 1 and near[1][0] - near[0][0] < 0.5:
             return None
@@ -283,7 +288,7 @@ class Matcher:
 
     def _split(self, t: str, most: int) -> list[str] | None:
         best: tuple[float, list[str]] | None = None
-        for i in range(4, len(t) - 3):
+        for i in range(4, min(len(t) - 3, self.words.longest + 1)):
             if (a := self.words.best(t[:i])) is None:
                 continue
             rest = self.words.best(t[i:])

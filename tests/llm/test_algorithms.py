@@ -152,7 +152,7 @@ def reference(spark):
         ("rapid bridge protocol", "Rapid Bridge Protocol"), ("Bridge Protocol (Rapid)", "Rapid Bridge Protocol"), ("Protocol for Bridge, Rapid", "Rapid Bridge Protocol"), ("the Rapid-Bridge Protocol method", "Rapid Bridge Protocol"),
         ("Rapid Brigde Protocl", "Rapid Bridge Protocol"), ("RapidBridge Protocol", "Rapid Bridge Protocol"), ("Rаpid Bridge Prоtocol", "Rapid Bridge Protocol"), ("Ｒａｐｉｄ Bridge Protocol", "Rapid Bridge Protocol"), ("Rapid Bridge", "Rapid Bridge Protocol"), ("快速桥接", "Rapid Bridge Protocol"),
         ("快速桥接技术", "Rapid Bridge Protocol"), ("所谓快速桥接协议", "Rapid Bridge Protocol"), ("快速橋接協議", "Rapid Bridge Protocol"), ("快桥速接协议", "Rapid Bridge Protocol"), ("《快速桥接协议》", "Rapid Bridge Protocol"), ("桥接协议(快速)", "Rapid Bridge Protocol"), ("RABP", None), ("R.A.B.P.", "Rapid Bridge Protocol"),
-        ("Rapid Bridge Protocol (RABP)", "Rapid Bridge Protocol"), ("Rapid Bridge Control", "Rapid Bridge Control"), ("Rapid Mirror Protocol", 0), ("Nested Stream Throughput", 0), ("Lab bench", 0), ("教材", 0), ("σ", 0), ("x" * 50_000, 0),
+        ("Rapid Bridge Protocol (RABP)", "Rapid Bridge Protocol"), ("RAPID BRIDGE CONTROL", "Rapid Bridge Control"), ("Rapid Mirror Protocol", 0), ("Nested Stream Throughput", 0), ("Lab bench", 0), ("教材", 0), ("σ", 0), ("x" * 50_000, 0), ("快的" * 20_000, 0), ("rapid bridge " * 5_000, 0),
     ],
 )
 def test_to_canonical(spark, name, want):
