@@ -120,8 +120,8 @@ def _best(u: np.ndarray, v: np.ndarray, sim: np.ndarray, k: int) -> pd.DataFrame
     return pd.DataFrame({"u": u, "v": v, "sim": sim, "fresh": np.ones(len(u), bool)})
 
 
-def build_graph(vertices: DataFrame, scratch: Scratch, dim: int, k: int = 10, trees: int = 4, leaf: int = 250, rounds: int = 3, bucket: int = 32, enough: float = 0.002, seed: int = 5) -> DataFrame:
-    """``u, nbrs``: of each vertex (``u BIGINT, vec BINARY``, unit float32) about the k most similar others."""
+def build_graph(vertices: DataFrame, scratch: Scratch, dim: int, k: int = 10, trees: int = 4, leaf: int = 250, rounds: int = 3, bucket: int = 32, enough: float = 0.002, seed: int = 5) -> tuple[DataFrame, Trees]:
+    """``u, nbrs``: of each vertex (``u BIGINT, vec BINARY``, unit float32) about the k most similar others; and the trees."""
     spark = vertices.sparkSession
     n = vertices.count()
     share = min(1.0, 1.2 * SAMPLE / max(1, n))
@@ -198,7 +198,7 @@ def build_graph(vertices: DataFrame, scratch: Scratch, dim: int, k: int = 10, tr
         changed = graph.agg(F.sum(F.size(F.filter("nbrs", lambda x: x["fresh"]))).alias("c")).collect()[0]["c"] or 0
         if changed <= enough * n * k:
             break
-    return graph
+    return graph, forest.value
 
 
 class Collection:
@@ -221,7 +221,7 @@ class Collection:
         self.members = self.scratch.cut(flat.join(same, ["h", "g"]).select("u", "node_id").distinct())
         one = flat.groupBy("h", "g").agg(F.min(F.struct("node_id", "vec")).alias("x"))
         self.vertices = self.scratch.cut(one.select(F.col("x.node_id").alias("u"), "x.vec"))
-        self.graph = build_graph(self.vertices, self.scratch, dim, k, **graph)
+        self.graph, self.trees = build_graph(self.vertices, self.scratch, dim, k, **graph)
 
     def pairs(self, least: float, top: int = 5) -> DataFrame:
         """``node_a, node_b, cosine``, node_a < node_b: pairs of at least this cosine of which one is among the other's
@@ -255,3 +255,57 @@ def similar_pairs(nodes: DataFrame, least: float = 0.9, top: int = 5, **options)
     """``node_a, node_b, cosine``: see ``Collection.pairs``. Rows with an unusable embedding or a null id take no part;
     repeated rows of one id count once; an empty table gives no rows."""
     return Collection(nodes, **options).pairs(least, top)
+
+
+def search(collection: Collection, queries: DataFrame, k: int = 5, beam: int = 48, width: int = 8, hops: int = 12, trees: int = 2) -> DataFrame:
+    """``node_id, neighbor, cosine, rank``: of each query (``node_id`` of a usable row) about its k most similar other nodes.
+
+    Greedy search on the graph: a query starts at the best vertices of its leaf in some of the trees, then, hop by hop, the ``width``
+    best vertices of its beam that are not yet expanded show their neighbours, until none is left or ``hops`` are over. All
+    queries move at once, as joins with the graph and the vectors; each hop's state is a table in the shared folder.
+    """
+    from pyspark.sql import Window as W
+
+    scratch, dim = collection.scratch, collection.dim
+    vertices, graph, members = collection.vertices, collection.graph, collection.members
+    spark = vertices.sparkSession
+    shared = spark.sparkContext.broadcast(collection.trees)
+    asked = queries.select("node_id").join(members, "node_id").select("node_id", F.col("u").alias("q"))
+    pool = "array<struct<d:double,v:bigint,seen:boolean>>"
+
+    def place(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            at = shared.value.leaf(_vectors(pdf["vec"], dim))
+            for t in range(min(trees, at.shape[1])):
+                yield pd.DataFrame({"tree": t, "leaf": at[:, t], "v": pdf["v"], "vec": pdf["vec"]})
+
+    def far(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            if len(pdf):
+                yield pd.DataFrame({"q": pdf["q"], "v": pdf["v"], "d": -(_vectors(pdf["a"], dim).astype(float) * _vectors(pdf["b"], dim)).sum(1)})
+
+    wanted = scratch.cut(asked.select("q").distinct().join(vertices.withColumnRenamed("u", "q"), "q"))
+    placed = "tree int, leaf bigint, v bigint, vec binary"
+    there = vertices.withColumnRenamed("u", "v").mapInPandas(place, placed).withColumnRenamed("vec", "b")
+    here = wanted.withColumnRenamed("q", "v").mapInPandas(place, placed).select("tree", "leaf", F.col("v").alias("q"), F.col("vec").alias("a"))
+    first = here.join(there, ["tree", "leaf"]).where("q != v").mapInPandas(far, "q bigint, v bigint, d double").distinct()
+    ranked = first.withColumn("r", F.row_number().over(W.partitionBy("q").orderBy("d", "v"))).where(F.col("r") <= width)
+    state = scratch.cut(wanted.select("q").join(ranked, "q", "left").groupBy("q").agg(F.array_sort(F.collect_list(F.when(F.col("v").isNotNull(), F.struct("d", "v", F.lit(False).alias("seen"))))).cast(pool).alias("pool")))
+    for _ in range(hops):
+        chosen = state.select("q", "pool", F.slice(F.filter("pool", lambda x: ~x["seen"]), 1, width).alias("next"))
+        steps = chosen.select("q", F.explode("next.v").alias("u")).join(graph, "u").select("q", F.explode("nbrs.v").alias("v")).distinct()
+        fresh = steps.join(chosen.select("q", F.transform("pool", lambda x: x["v"]).alias("have")), "q").where(~F.array_contains("have", F.col("v"))).select("q", "v")
+        met = fresh.join(vertices.select(F.col("u").alias("v"), F.col("vec").alias("b")), "v").join(wanted.select("q", F.col("vec").alias("a")), "q")
+        found = met.mapInPandas(far, "q bigint, v bigint, d double").groupBy("q").agg(F.collect_list(F.struct("d", "v", F.lit(False).alias("seen"))).cast(pool).alias("more"))
+        marked = F.transform("pool", lambda x: F.struct(x["d"].alias("d"), x["v"].alias("v"), (x["seen"] | F.array_contains(F.transform("next", lambda y: y["v"]), x["v"])).alias("seen")))
+        joined = chosen.withColumn("pool", marked).join(found, "q", "left")
+        after = scratch.cut(joined.select("q", F.slice(F.array_sort(F.concat("pool", F.coalesce("more", F.array().cast(pool)))), 1, beam).alias("pool")))
+        scratch.drop(state)
+        state = after
+        if state.where(F.exists("pool", lambda x: ~x["seen"])).isEmpty():
+            break
+    few = members.withColumn("r", F.row_number().over(W.partitionBy("u").orderBy("node_id"))).where(F.col("r") <= k + 1).drop("r")
+    near = state.select("q", F.explode("pool").alias("x")).where("x.v != q").select("q", F.col("x.v").alias("u"), F.col("x.d").alias("d")).union(wanted.select("q", F.col("q").alias("u"), F.lit(-1.0).alias("d")))
+    best = near.join(few, "u").groupBy("q").agg(F.slice(F.array_sort(F.collect_list(F.struct("d", "node_id"))), 1, k + 1).alias("best"))
+    each = asked.join(best, "q").select("node_id", F.posexplode(F.slice(F.filter("best", lambda x: x["node_id"] != F.col("node_id")), 1, k)).alias("i", "x"))
+    return each.select("node_id", F.col("x.node_id").alias("neighbor"), F.round(-F.col("x.d"), 6).alias("cosine"), (F.col("i") + 1).cast("bigint").alias("rank"))

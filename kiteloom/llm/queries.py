@@ -15,6 +15,12 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     return neighbors.similar_pairs(table(spark, sf, "entity_vectors")).select("node_a", "node_b")
 
 
+def p1_search(spark: SparkSession, sf: str) -> DataFrame:
+    """The five most similar nodes of every node whose id is divisible by 50, by greedy search on the graph of all."""
+    nodes = table(spark, sf, "entity_vectors")
+    return neighbors.search(neighbors.Collection(nodes), nodes.where("node_id % 50 = 0"))
+
+
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
     return canonical.to_canonical(table(spark, sf, "entities_raw"), table(spark, sf, "canonical_entities")).select("entity_id", "canon_id")
 
@@ -80,6 +86,7 @@ def p10_source_rates(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found,
+    "p1_search": p1_search,
     "p2_found": p2_found,
     "p3_found": p3_found,
     "p3_currency": p3_currency,

@@ -214,3 +214,19 @@ def test_pack_keeps_documents_whole(spark):
     assert packing.pack(docs.limit(0), capacity=64).count() == 0
     with pytest.raises(ValueError):
         packing.pack(docs, capacity=0)
+
+
+def test_greedy_search_against_brute_force(spark):
+    m = clouds(1200, 16, 4).astype(np.float32)
+    m[50:60] = m[49]
+    df = spark.createDataFrame([(i, m[i].tolist()) for i in range(len(m))] + [(9000, None)], "node_id long, embedding array<float>")
+    c = neighbors.Collection(df, dim=16, leaf=60)
+    got = neighbors.search(c, df.where("node_id % 50 = 0"), k=5).toPandas()
+    u = m.astype(float) / np.linalg.norm(m.astype(float), axis=1, keepdims=True)
+    hit = 0
+    for q, mine in got.groupby("node_id")["neighbor"]:
+        s = np.round(u @ u[q], 6)
+        s[q] = -2
+        hit += sum(s[v] >= np.sort(s)[-5] for v in mine)
+    assert len(got) == 24 * 5 and hit / len(got) >= 0.9
+    assert set(got[got["node_id"] == 50]["neighbor"]) <= set(range(49, 60)) and neighbors.search(c, df.limit(0)).count() == 0
