@@ -257,7 +257,7 @@ def similar_pairs(nodes: DataFrame, least: float = 0.9, top: int = 5, **options)
     return Collection(nodes, **options).pairs(least, top)
 
 
-def search(collection: Collection, queries: DataFrame, k: int = 5, beam: int = 48, width: int = 8, hops: int = 12, trees: int = 2) -> DataFrame:
+def search(collection: Collection, queries: DataFrame, k: int = 5, beam: int = 128, width: int = 16, hops: int = 12, trees: int = 4) -> DataFrame:
     """``node_id, neighbor, cosine, rank``: of each query (``node_id`` of a usable row) about its k most similar other nodes.
 
     Greedy search on the graph: a query starts at the best vertices of its leaf in some of the trees, then, hop by hop, the ``width``
