@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -91,36 +93,45 @@ def _hide_code(text: str) -> tuple[str, list[tuple[str, str]]]:
     return _CODE.sub(put, text.replace("\x00", "")), blocks
 
 
-def _marked_lines(lines: list[str]) -> bool:
-    """A list item or a quotation that isn't the wrapped end of a sentence."""
+def _marked_lines(lines: list[str]) -> Iterator[int]:
+    """Lines that are a list item or a quotation and not the wrapped end of a sentence."""
     for i, line in enumerate(lines):
         before = lines[i - 1].rstrip() if i else ""
         if _ITEM.match(line):
             mark = line.lstrip()[0]
             if mark == "-" or not before or _ITEM.match(before):
-                return True
+                yield i
         elif _QUOTE.match(line) and (not before or before[-1] in ".。!！?？:：>|`}\x00" or before.lstrip()[0] in "#=>|" or len(before) > 1 and before[-1] in "=)"):
-            return True
-    return False
+            yield i
 
 
-def kinds(text: str | None) -> list[str]:
-    """The kinds of markup in a text, in alphabetical order; null and empty texts have none."""
-    if not text:
-        return []
-    bare, blocks = _hide_code(text)
-    found = {_CODE_KIND[k] for k, _ in blocks}
-    bare = bare.replace("\r\n", "\n")
-    if _FIND["html"].search(bare) or any(_entity(m) for m in _ENTITY.finditer(bare)):
-        found.add("html")
-    if _FIND["latex"].search(bare):
-        found.add("latex")
-    if _FIND["wiki"].search(bare):
-        found.add("wiki")
-    plain = re.sub(r"\\[A-Za-z]+\*|\\\[.{0,400}?\\\]|\\\(.{0,400}?\\\)|\$\$.{0,2000}?\$\$|^[ \t]*\{\|.*?^[ \t]*\|\}|\[\[[^\]\n]*\]\]|\{\{[^}\n]*\}\}", " ", bare, flags=re.S | re.M)
-    if _FIND["markdown"].search(plain) or _marked_lines(plain.split("\n")):
-        found.add("markdown")
-    return sorted(found)
+_ELSEWHERE = re.compile(r"\\[A-Za-z]+\*|\\\[.{0,400}?\\\]|\\\(.{0,400}?\\\)|\$\$.{0,2000}?\$\$|^[ \t]*\{\|.*?^[ \t]*\|\}|\[\[[^\]\n]*\]\]|\{\{[^}\n]*\}\}", re.S | re.M)
+
+
+def _marks(bare: str, blocks: list[tuple[str, str]]) -> list[tuple[int, str]]:
+    """Where markup begins in a text whose code is hidden, and its kind, in order."""
+    out = {(m.start(), _CODE_KIND[blocks[int(m.group(1))][0]]) for m in re.finditer(r"\x00(\d+)\x00", bare)}
+    for kind in ("html", "latex", "wiki"):
+        out |= {(m.start(), kind) for m in _FIND[kind].finditer(bare)}
+    out |= {(m.start(), "html") for m in _ENTITY.finditer(bare) if _entity(m)}
+    # signs of Markdown inside LaTeX and wiki markup aren't Markdown
+    parts, at, size, end = [], [], 0, 0
+    for m in [*_ELSEWHERE.finditer(bare), None]:
+        part = bare[end : m.start() if m else None] + " " * (m is not None)
+        at.append((size, end))
+        parts.append(part)
+        size, end = size + len(part), m.end() if m else 0
+    plain = "".join(parts)
+
+    def place(k: int) -> int:
+        start, origin = at[bisect_right(at, (k, len(bare) + 1)) - 1]
+        return origin + k - start
+
+    out |= {(place(m.start()), "markdown") for m in _FIND["markdown"].finditer(plain)}
+    lines = plain.split("\n")
+    starts = [0, *accumulate(len(x) + 1 for x in lines)]
+    out |= {(place(starts[i]), "markdown") for i in _marked_lines(lines)}
+    return sorted(out)
 
 
 def _braced(text: str, at: int) -> int:
@@ -184,13 +195,17 @@ def _inline(s: str) -> str:
     return re.sub(r"\x01(\d+)\x01", lambda m: kept[int(m.group(1))], s)
 
 
-def nodes(text: str) -> list[tuple[tuple[str, ...], str]]:
-    """Path of tags and text of every node, in order."""
+def nodes(text: str) -> list[tuple[tuple[str, ...], str, frozenset[str]]]:
+    """Path of tags, text and kinds of the markup that begins there of every node, in order. Lines with markup that
+    yield no other node are nodes without text, ``mark``."""
     bare, blocks = _hide_code(text)
+    bare = bare.replace("\r\n", "\n")
+    marks, at = _marks(bare, blocks), 0
     # formulas, comments and emphasis may run over line ends; lines are read one by one
     bare = re.sub(r"\\\[.{1,400}?\\\]|\$\$.{1,2000}?\$\$|<!--(?:[^-]|-(?!->))*-->", lambda m: m.group().replace("\n", " "), bare, flags=re.S)
     bare = re.sub(r"(\*\*\*?|__|~~|''')(?=\S)((?:[^\n]|\n(?!\s*\n)){1,400}?)(?<=\S)\1", lambda m: m.group().replace("\n", " "), bare)
-    out: list[tuple[tuple[str, ...], str]] = []
+    found: list[tuple[tuple[str, ...], str]] = []
+    out: list[tuple[tuple[str, ...], str, frozenset[str]]] = []
     stack: list[str] = []
 
     def put(tags: tuple[str, ...], s: str) -> None:
@@ -199,14 +214,29 @@ def nodes(text: str) -> list[tuple[tuple[str, ...], str]]:
             if kind in ("tick1", "htmlcode"):
                 return html.unescape(re.sub(r"(?i)</?code[^>]*>", "", raw)).strip("`")
             return raw
-        out.append(((*stack, *tags), re.sub(r"\x00(\d+)\x00", code, s).strip()))
-
+        found.append(((*stack, *tags), re.sub(r"\x00(\d+)\x00", code, s).strip()))
+
+    def close(end: int) -> None:
+        """The line that ends there is read; what markup began in it goes to its first node."""
+        nonlocal at
+        first = at
+        while at < len(marks) and marks[at][0] < end:
+            at += 1
+        own = frozenset(kind for _, kind in marks[first:at])
+        if own and not found:
+            found.append(((*stack, "mark"), ""))
+        out.extend((path, s, own if not i else frozenset()) for i, (path, s) in enumerate(found))
+        found.clear()
+
+    line_end = 0
     for line in bare.split("\n"):
+        line_end += len(line) + 1
         s = line.strip()
         if m := re.fullmatch(r"\x00(\d+)\x00", s):
             kind, raw = blocks[int(m.group(1))]
             body = re.sub(r"(?i)</?(?:pre|code)[^>]*>", "", raw) if kind == "pre" else re.sub(r"\\(?:begin|end)\{[^}]*\}(?:\[[^\]]*\])?", "", raw) if kind == "verb" else "\n".join(raw.split("\n")[1:-1]) if kind == "fence" else raw.strip("`")
-            out.append(((*stack, "pre"), (html.unescape(body) if kind == "pre" else body).strip("\n")))
+            found.append(((*stack, "pre"), (html.unescape(body) if kind == "pre" else body).strip("\n")))
+            close(line_end)
             continue
         for m in re.finditer(r"\\begin\{(\w+)\*?\}", s):
             stack.append({"itemize": "ul", "enumerate": "ol", "tabular": "table", "equation": "math", "align": "math"}.get(m.group(1), m.group(1)))
@@ -258,21 +288,30 @@ def nodes(text: str) -> list[tuple[tuple[str, ...], str]]:
                 stack.remove(name.lower())
         for _ in range(min(ends, len(stack))):
             stack.pop()
+        close(line_end)
     return out
 
 
+def kinds(text: str | None, seq: list | None = None) -> list[str]:
+    """The kinds of markup of a text's nodes, in alphabetical order; null and empty texts have none. Paths that hold no
+    content count as well: a comment or a figure is markup. seq: its nodes, if they are known."""
+    if not text:
+        return []
+    return sorted(frozenset().union(*(k for _, _, k in (nodes(text) if seq is None else seq))))
+
+
 _STRUCTURE = frozenset("h1 h2 h3 h4 h5 h6 li tr pre math".split())
 
 
-def clean(text: str | None, threshold: float = 0.05) -> str | None:
+def clean(text: str | None, threshold: float = 0.05, seq: list | None = None) -> str | None:
     """The text without markup, its structure in one notation; null stays null. threshold is the least share of the best
-    path's ratio that a path of running text must reach to be content."""
+    path's ratio that a path of running text must reach to be content; seq: the text's nodes, if they are known."""
     if text is None:
         return None
-    seq = nodes(text)
+    seq = nodes(text) if seq is None else seq
     paths: dict[tuple[str, ...], list[float]] = {}
-    for path, s in seq:
-        if path[-1] != "gap":
+    for path, s, _ in seq:
+        if path[-1] not in ("gap", "mark"):
             x = paths.setdefault(path, [0.0, 0.0, 0.0])
             x[0] += len(s)
             x[1] += len(_PUNCT.findall(s))
@@ -286,7 +325,7 @@ def clean(text: str | None, threshold: float = 0.05) -> str | None:
     least = threshold * max(fused, default=0.0)
     content = {p for p, f in zip(order, fused) if f >= least and p[-1] not in ("figure", "nav") or p[-1] in _STRUCTURE or p == ("p",)}
     out: list[str] = []
-    for path, s in seq:
+    for path, s, _ in seq:
         leaf = path[-1]
         if leaf == "gap":
             out.append("")
@@ -308,7 +347,8 @@ _RESULT = StructType([StructField("kinds", ArrayType(StringType())), StructField
 @F.pandas_udf(_RESULT)
 def _both(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     for s in parts:
-        yield pd.DataFrame({"kinds": [kinds(x) for x in s], "clean": [clean(x) for x in s]})
+        read = [(x, None if x is None else nodes(x)) for x in s]
+        yield pd.DataFrame({"kinds": [kinds(x, seq) for x, seq in read], "clean": [clean(x, seq=seq) for x, seq in read]})
 
 
 @F.pandas_udf(ArrayType(StringType()))

@@ -57,6 +57,14 @@ def test_kinds(text, want):
     assert markup.kinds(text) == want
 
 
+def test_kinds_come_from_the_nodes(monkeypatch):
+    text = "# Head\n\n<b>x</b> &amp; y\n{|\n|-\n| a || b\n|}\n\\begin{itemize}\n\\item z\n\\end{itemize}\n```c\n[[no]]\n```\n<!-- a\nb -->"
+    seq = markup.nodes(text)
+    assert [(path[-1], sorted(k)) for path, _, k in seq if k] == [("h1", ["markdown"]), ("p", ["html"]), ("mark", ["wiki"]), ("mark", ["wiki"]), ("mark", ["wiki"]), ("gap", ["latex"]), ("li", ["latex"]), ("gap", ["latex"]), ("pre", ["markdown"]), ("p", ["html"])]
+    monkeypatch.setattr(markup, "nodes", lambda text: seq[:3])
+    assert markup.kinds(text) == ["html", "markdown"]
+
+
 def test_clean_keeps_structure():
     text = "# Head\n\nSome **bold** text, with <i>tags</i> &amp; more.\n\n- one\n- two\n\n| a | b |\n|---|---|\n| 1 | 2 |\n\n```c\nint *x;\n```\n\n$$\n\\sum_i d_i\n$$\n\n[[File:1.png|thumb|x]]\n\\section{Next}\n\\begin{itemize}\n\\item three\n\\end{itemize}\nMore text~\\cite{r}, here. {{fact|week=1}}"
     out = markup.clean(text)
