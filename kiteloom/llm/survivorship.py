@@ -4,13 +4,19 @@ A row is ordered by how far its run is trusted, then by currency (the timestamp)
 timestamp, ``value_precedence`` learns from the timestamped rows of all groups which value usually follows which
 (currency reasoning), ``currency_rank`` turns those precedences into a per-group partial order, and the topologically
 latest value may be taken (``nulls="currency"``); ``nulls="oldest"`` puts them last instead.
-All steps are grouped aggregates with map-side combine, so a key with a third of all rows never meets in one task.
+All steps on rows are grouped aggregates with map-side combine, so a key with a third of all rows never meets in one
+task; only the precedences among its distinct values do.
 """
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
+from collections.abc import Iterable
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 #: Runs from the most to the least trusted.
 TRUST = ("fs-recheck", "zs-recheck", "fs-nocheck", "zs-nocheck")
@@ -129,17 +135,58 @@ def value_precedence(rows: DataFrame) -> DataFrame:
     )
 
 
+def latest_ranks(edges: Iterable[tuple[int, str, str]]) -> dict[str, int]:
+    """Of (support, before, after) the rank of every value: the most values in a row that come before it.
+
+    Precedences are taken from the strongest to the weakest (equal ones by value); one that would close a cycle is the
+    weakest of that cycle and is left out. So a value with a successor that is kept never has the highest rank.
+    """
+    after: dict[str, list[str]] = defaultdict(list)
+
+    def reaches(a: str, b: str) -> bool:
+        seen, todo = {a}, [a]
+        while todo:
+            if (x := todo.pop()) == b:
+                return True
+            new = [y for y in after[x] if y not in seen]
+            seen.update(new)
+            todo += new
+        return False
+
+    missing: Counter = Counter()
+    for _, a, b in sorted(edges, key=lambda e: (-e[0], e[1], e[2])):
+        if not reaches(b, a):
+            after[a].append(b)
+            missing[b] += 1
+    rank = dict.fromkeys(after, 0)
+    todo = [x for x in rank if not missing[x]]
+    while todo:
+        x = todo.pop()
+        for y in after[x]:
+            rank[y] = max(rank[y], rank[x] + 1)
+            missing[y] -= 1
+            if not missing[y]:
+                todo.append(y)
+    return rank
+
+
+@F.pandas_udf(ArrayType(StructType([StructField("value", StringType()), StructField("rank", IntegerType())])))
+def _ranks(lists: pd.Series) -> pd.Series:
+    return lists.map(lambda edges: [{"value": v, "rank": r} for v, r in latest_ranks((e["support"], e["before"], e["after"]) for e in edges).items()])
+
+
 def currency_rank(rows: DataFrame) -> DataFrame:
-    """``mention_key, canonical_name, currency``: the support of learned precedences, inside the key's own values, that
-    put the value after others less that which puts it before. The topologically latest value of a key has the highest."""
+    """``mention_key, canonical_name, currency``: the value's rank in the order that the learned precedences give among
+    the key's own values, by longest path, with cycles broken at their weakest precedence. The topologically latest value
+    of a key has the highest; values that no precedence of the key names have 0.
+
+    Only the precedences among one key's distinct values are listed together, never its rows.
+    """
     values = rows.where("mention_key is not null and canonical_name is not null").select("mention_key", "canonical_name").distinct()
     rules = value_precedence(rows)
     a = values.select("mention_key", F.col("canonical_name").alias("before"))
     b = values.select("mention_key", F.col("canonical_name").alias("after"))
     held = a.join(rules, "before").join(b, ["mention_key", "after"])
-    votes = held.select("mention_key", F.col("after").alias("canonical_name"), F.col("support").alias("s")).union(
-        held.select("mention_key", F.col("before").alias("canonical_name"), (-F.col("support")).alias("s"))
-    )
-    return values.join(votes.groupBy("mention_key", "canonical_name").agg(F.sum("s").cast("double").alias("currency")), ["mention_key", "canonical_name"], "left").fillna(
-        0.0, ["currency"]
-    )
+    ranks = held.groupBy("mention_key").agg(F.collect_list(F.struct("support", "before", "after")).alias("edges")).select("mention_key", F.explode(_ranks("edges")).alias("x"))
+    ranked = ranks.select("mention_key", F.col("x.value").alias("canonical_name"), F.col("x.rank").cast("double").alias("currency"))
+    return values.join(ranked, ["mention_key", "canonical_name"], "left").fillna(0.0, ["currency"])

@@ -92,6 +92,34 @@ def test_currency_orders_rows_without_time(spark):
     assert (pick("oldest"), pick("currency")) == (20, 21)
 
 
+def test_the_topologically_latest_value_is_taken(spark):
+    # a is followed by b ten times and b by c once: c is the latest, though b has more support
+    steps = [("a", "b")] * 10 + [("b", "c")]
+    known = [(10 * k + i, f"k{k}", v, None, None, v, "fs-recheck", 1 + i) for k, pair in enumerate(steps) for i, v in enumerate(pair)]
+    undated = [(900 + i, "u", v, "T.", 1, v, "fs-recheck", None) for i, v in enumerate("abcd")]
+    df = rows_of(spark, *known, *undated)
+    assert {r["canonical_name"]: r["currency"] for r in survivorship.currency_rank(df).where("mention_key = 'u'").collect()} == {"a": 0, "b": 1, "c": 2, "d": 0}
+    assert survivorship.best_rows(df, "currency").where("mention_key = 'u'").first()["canon_from"] == 902
+
+
+def test_cycles_break_at_the_weakest_precedence():
+    assert survivorship.latest_ranks([(5, "a", "b"), (4, "b", "c"), (1, "c", "a"), (2, "c", "d")]) == {"a": 0, "b": 1, "c": 2, "d": 3}
+    assert survivorship.latest_ranks([]) == {}
+    rng = random.Random(3)
+    for _ in range(50):
+        edges = [(rng.randrange(1, 9), *rng.sample("pqrstuv", 2)) for _ in range(12)]
+        edges = list({frozenset(e[1:]): e for e in edges}.values())
+        rank = survivorship.latest_ranks(edges)
+        assert set(rank) == {v for _, *pair in edges for v in pair}
+        against = [e for e in edges if rank[e[1]] >= rank[e[2]]]
+        for n, a, b in against:  # a chain of stronger or equal precedences leads back
+            seen, grown = {b}, True
+            while grown:
+                more = {y for m, x, y in edges if x in seen and m >= n and (m, x, y) not in against} - seen
+                seen, grown = seen | more, bool(more)
+            assert a in seen
+
+
 # ---------------------------------------------------------------------------------------------------------- neighbors
 
 
