@@ -187,6 +187,20 @@ def test_chunks_alone(spark):
     assert sorted(tuple(r)[1:] for r in scans.noise_lines(None, c).collect()) == [(1, 2, "page_number"), (1, 3, "header")]
 
 
+def chunks_of(spark, texts):
+    rows = [(i, None, t, None, None) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "chunk_id long, titles array<string>, content string, page_number int, source_file string")
+
+
+def test_a_misread_character_of_one_context(spark):
+    # 选 is a word of its own in "可选。"; 问 stands where the same sentence has 间
+    right = ["比较长流与短流之间的公平性。", "这个办法仍然可用。"] * 60
+    texts = right + ["比较长流与短流之问的公平性。"] * 4 + ["表中各项可选。"] * 4
+    c = chunks_of(spark, texts)
+    assert sorted(tuple(r)[1:] for r in scans.noise_lines(None, c).collect()) == [(i, 1, "misread") for i in range(120, 124)]
+    assert {r["text"] for r in scans.repaired(None, c).collect()} == {*right, "表中各项可选。"}
+
+
 def test_boost_learns_an_interaction():
     import numpy as np
 
