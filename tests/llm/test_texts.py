@@ -201,6 +201,14 @@ def test_a_misread_character_of_one_context(spark):
     assert {r["text"] for r in scans.repaired(None, c).collect()} == {*right, "表中各项可选。"}
 
 
+def test_no_confusion_is_lost_among_ordinary_differences(spark):
+    # 5,041 differences between ordinary words, all with more support than the confusion vv/w
+    letters = [a + b for a in "abdefghijklmnopqrst"[:9] for b in "abcdefgh"][:71]
+    rows = [(x, y, 500) for x in letters for y in letters] + [("vv", "w", 2), ("rn", "m", 2), ("(", "c", 10), ("7", "t", 9), ("4", "7", 90), ("vvv", "w", 50), ("cl", "d", 1)]
+    df = spark.createDataFrame(rows, "x string, y string, support long")
+    assert sorted(tuple(r) for r in scans.usable_confusions(df).collect()) == [("(", "c", 10), ("rn", "m", 2), ("vv", "w", 2)]
+
+
 def test_boost_learns_an_interaction():
     import numpy as np
 
