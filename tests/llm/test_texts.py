@@ -201,6 +201,17 @@ def test_a_misread_character_of_one_context(spark):
     assert {r["text"] for r in scans.repaired(None, c).collect()} == {*right, "表中各项可选。"}
 
 
+@pytest.mark.parametrize("block", [1])
+def test_corrections_beyond_one_block(spark, monkeypatch, rows, block):
+    pages = pages_of(spark)[0]
+    pages = pages.union(pages.where("page_id % 10 = 0"))  # repeated rows each come out
+    c = chunks_of(spark, ["比较长流与短流之间的公平性。", "这个办法仍然可用。"] * 60 + ["比较长流与短流之问的公平性。"] * 4)
+    want = rows(scans.noise_lines(pages, c)), rows(scans.repaired(pages, c))
+    assert len({x[0] for x in want[0] if x[3] == "misread"}) == 2
+    monkeypatch.setattr(scans, "BLOCK", block)
+    assert (rows(scans.noise_lines(pages, c)), rows(scans.repaired(pages, c))) == want
+
+
 def test_no_confusion_is_lost_among_ordinary_differences(spark):
     # 5,041 differences between ordinary words, all with more support than the confusion vv/w
     letters = [a + b for a in "abdefghijklmnopqrst"[:9] for b in "abcdefgh"][:71]
