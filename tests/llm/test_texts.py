@@ -212,6 +212,19 @@ def test_corrections_beyond_one_block(spark, monkeypatch, rows, block):
     assert (rows(scans.noise_lines(pages, c)), rows(scans.repaired(pages, c))) == want
 
 
+def test_lines_running_in_many_books_beyond_one_block(spark, monkeypatch, rows):
+    heads = ["A Primer of Bridges", "Notes on Slow Routers", "Every Timer Explained"]
+    book = lambda p: f"book{p % 4}"
+    data = [(p, book(p), p, f"{heads[p % 3]}\nsome text of page {'abcdefgh'[p % 8]} that goes on\nand ends here.", "x") for p in range(1, 61)]
+    # books of one page know running lines only from the others; the second one was misread
+    data += [(100 + i, f"single{i}", 1, f"{h}\nother words of a page\nand its end.", "x") for i, h in enumerate([*heads, "Notes on Slcw Routers"])]
+    df = spark.createDataFrame(data, "page_id long, book string, page_number int, text string, kind string")
+    want = rows(scans.noise_lines(df, None))
+    assert {x[1] for x in want if x[3] == "header"} >= {100, 101, 102, 103}
+    monkeypatch.setattr(scans, "BLOCK", 1)
+    assert rows(scans.noise_lines(df, None)) == want
+
+
 def test_no_confusion_is_lost_among_ordinary_differences(spark):
     # 5,041 differences between ordinary words, all with more support than the confusion vv/w
     letters = [a + b for a in "abdefghijklmnopqrst"[:9] for b in "abcdefgh"][:71]
