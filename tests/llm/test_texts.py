@@ -144,6 +144,14 @@ def test_page_number(line, want):
     assert scans.page_number(line) == want
 
 
+@pytest.mark.parametrize(
+    "line, want",
+    [("<!-- check -->As a rule, it holds.", "As a rule, it holds."), ("<!-- Page 3 --> As a rule", "As a rule"), ("{{term|Each node stores}} at most 137", "Each node stores at most 137"), ("<!-- check -->", ""), (" {{fact|week=1}} <!-- a -->", ""), ("<!-- goes on", ""), ("{{box", ""), ("{| class=x", ""), ("no markup", "no markup")],
+)
+def test_text_beside_comments_and_templates_is_read(line, want):
+    assert scans._mask(line) == [want]
+
+
 def pages_of(spark):
     rng = random.Random(2)
     words = "the sender keeps a small table of recent samples and discards those older than routers announce every change before receiver restarts timer".split()
