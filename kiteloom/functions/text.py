@@ -10,13 +10,14 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 from ..schema import ALIASES, SUFFIXES
 
 _EDGES = r"^[\s\p{Z}\x{85}]+|[\s\p{Z}\x{85}]+$"
 #: What does not count when names are compared for strong equality.
 _LOOSE = r"""[\s\-_/\\.,，。:：;；()（）\[\]【】{}<>《》"'`]+"""
+#: Punctuation and brackets that don't count when names are compared in evaluation.
 _NAME_PUNCT = re.compile(r"[\s　\-_/\\.,;:!?\"'`~@#$%^&*+=<>|()\[\]{}—–·、，。；：！？「」『』《》【】（）]+")
 _NAME_PAREN = re.compile(r"[\(（][^\)）]*[\)）]")
 
@@ -58,24 +59,31 @@ def norm_name(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield s.map(norm_name_text)
 
 
-def norm_name_ascii(c: Column) -> Column:
-    """``norm_name`` for names whose compatibility form is themselves; inside whole-stage code generation."""
-    s = F.lower(F.regexp_replace(F.coalesce(c, F.lit("")), r"[(（][^)）]*[)）]", ""))
-    return F.regexp_replace(s, r"""[\s\x{3000}\-_/\\.,;:!?"'`~@#$%^&*+=<>|()\[\]{}—–·、，。；：！？「」『』《》【】（）]+""", "")
+#: What stands between the names in a description.
+_PIECES = re.compile(r"[,，;；/、]| or | and |\s+又称\s+|\s+又叫\s+")
 
 
-def aliases_of(name: Column, description: Column) -> Column:
-    """The normalised name and the normalised pieces of a description that are 2 to 59 characters long."""
-    pieces = F.split(F.coalesce(description, F.lit("")), r"[,，;；/、]| or | and |\s+又称\s+|\s+又叫\s+")
-    named = F.filter(F.array(norm_name_ascii(name)), lambda x: x != "")
-    said = F.filter(F.transform(pieces, norm_name_ascii), lambda x: F.length(x).between(2, 59))
-    return F.array_distinct(F.concat(named, said))
+def alias_texts(name: str | None, description: str | None) -> list[str]:
+    """The normalised name and the normalised pieces of a description that are 2 to 59 characters long, each once."""
+    own = norm_name_text(name)
+    said = [norm_name_text(x) for x in _PIECES.split(description or "")]
+    return list(dict.fromkeys([own] * bool(own) + [x for x in said if 1 < len(x) < 60]))
 
 
-def tokens_of(c: Column) -> Column:
-    """Distinct CJK characters and runs of two or more ASCII letters and digits, in lower case."""
-    found = F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(r"([\x{4e00}-\x{9fff}]|[a-z0-9]+)"), F.lit(1))
-    return F.array_distinct(F.filter(found, lambda x: (F.length(x) > 1) | x.rlike(r"[\x{4e00}-\x{9fff}]")))
+@F.pandas_udf(ArrayType(StringType()))
+def aliases_of(names: pd.Series, descriptions: pd.Series) -> pd.Series:
+    return pd.Series([alias_texts(n, d) for n, d in zip(names, descriptions)], dtype=object)
+
+
+_TOKENS = re.compile(r"[一-鿿]|[a-z0-9]+")
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def tokens_of(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """Distinct CJK characters and runs of two or more ASCII letters and digits of the compatibility form, in lower case."""
+    for s in parts:
+        found = [_TOKENS.findall(unicodedata.normalize("NFKC", x or "").lower()) for x in s]
+        yield pd.Series([list(dict.fromkeys(t for t in ts if len(t) > 1 or t > "z")) for ts in found], dtype=object)
 
 
 def names_overlap(a: Column, b: Column) -> Column:
@@ -169,12 +177,37 @@ def image_page(path: Column) -> Column:
     return F.coalesce(F.nullif(F.regexp_extract(path, r"_page_(\d+)", 1), F.lit("")).cast("int"), F.lit(0))
 
 
+def folder_name(stem: Column) -> Column:
+    """A book's name as the name of a folder."""
+    safe = strip(F.regexp_replace(stem, r"[/\\\\]", "_"))
+    return F.when(safe == "", F.lit("document")).otherwise(safe)
+
+
 def page_label(n: Column) -> Column:
     return F.format_string("%04d", n)
 
 
-def data_url(content: Column, mime: str = "image/png") -> Column:
-    return F.concat(F.lit(f"data:{mime};base64,"), F.base64(content))
+#: Media types by ending.
+_MEDIA = {"png": "image/png", "jpg": "image/jpeg", "jpeg": "image/jpeg", "gif": "image/gif", "webp": "image/webp", "bmp": "image/bmp", "svg": "image/svg+xml", "tif": "image/tiff", "tiff": "image/tiff"}
+
+
+def media_type(path: Column) -> Column:
+    """By the ending of a file's name; image/png if it tells nothing."""
+    known = F.create_map(*[F.lit(x) for kv in _MEDIA.items() for x in kv])
+    return F.coalesce(F.try_element_at(known, F.lower(F.regexp_extract(path, r"\.([A-Za-z0-9]+)$", 1))), F.lit("image/png"))
+
+
+def data_url(content: Column, path: Column | None = None) -> Column:
+    """An image as a URL that holds it."""
+    media = F.lit("image/png") if path is None else media_type(path)
+    # base64 breaks lines after 76 characters
+    return F.concat(F.lit("data:"), media, F.lit(";base64,"), F.regexp_replace(F.base64(content), r"\s", ""))
+
+
+def parsed_evidences(text: Column) -> Column:
+    """The list that JSON text holds; text that is no such list is its only element; null and empty give none."""
+    listed = F.try_variant_get(F.try_parse_json(text), "$", "array<string>")
+    return F.when(F.coalesce(text, F.lit("")) == "", F.array().cast("array<string>")).otherwise(F.coalesce(listed, F.array(text)))
 
 
 def escape_cell(c: Column) -> Column:

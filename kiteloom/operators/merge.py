@@ -15,13 +15,14 @@ def order_of(row_id: str) -> Column:
     return F.struct(F.coalesce("file_stem", F.lit("")).alias("f"), F.coalesce("ord", F.lit(0)).alias("o"), F.col(row_id).alias("i"))
 
 
-def valid_entities(raw: DataFrame) -> DataFrame:
-    """Stripped and typed entities of a known type with a name of 2 to 30 characters; missing or unusable frequencies are 1."""
-    e = raw.select(
+def valid_entities(raw: DataFrame, *keep: str) -> DataFrame:
+    """Stripped and typed entities of a known type that aren't blank; the name as it is given, edges included, has 2 to 30
+    characters. Missing or unusable frequencies are 1. ``keep``: other columns to carry along."""
+    e = raw.where(F.length("name").between(2, 30)).select(
         "entity_id", order_of("entity_id").alias("at"), strip(F.col("name")).alias("name"), F.lower(strip(F.col("type"))).alias("type"),
-        text_or_empty(F.col("description")).alias("description"), F.greatest(F.coalesce("frequency", F.lit(1)), F.lit(1)).alias("frequency"),
+        text_or_empty(F.col("description")).alias("description"), F.greatest(F.coalesce("frequency", F.lit(1)), F.lit(1)).alias("frequency"), *keep,
     )
-    return e.where(F.col("type").isin(*ENTITY_TYPES) & F.length("name").between(2, 30))
+    return e.where(F.col("type").isin(*ENTITY_TYPES) & (F.col("name") != ""))
 
 
 def valid_triples(raw: DataFrame) -> DataFrame:

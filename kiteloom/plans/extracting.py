@@ -95,7 +95,8 @@ def clean_markdown(spark, sf):
 
 
 def header_tree(spark, sf):
-    return D.header_tree(table(spark, sf, "chunks"), "chunk_id", "content")
+    t = D.header_tree(table(spark, sf, "chunks"), "chunk_id", "content")
+    return t.select("chunk_id", *[F.col(c).cast("bigint").alias(c) for c in ("node", "parent", "level")], "title", F.array_join("path", " > ").alias("path"))
 
 
 def rolling_requests(spark, sf):
@@ -114,7 +115,27 @@ g AS MATERIALIZED (SELECT *, CASE WHEN NOT contains(content, evidence) THEN 'EVI
 """
 _TOKENS = r"len(regexp_extract_all(coalesce({}, ''), '[\x{{4e00}}-\x{{9fff}}]|[A-Za-z0-9_]+|[^\s]'))"
 
+_LINES = rf"""l AS (SELECT chunk_id, unnest(range(1, len(p) + 1)) AS i, unnest(p) AS x FROM (
+  SELECT chunk_id, string_split(regexp_replace(regexp_replace(content, '\A---\n.*?\n---\n', '', 's'), '```icon:[^`]*```', '', 'g'), chr(10)) AS p FROM chunks WHERE content IS NOT NULL)),
+c AS (SELECT *, CASE WHEN s = '' THEN 'blank' WHEN regexp_matches(s, '^## Page \d+') THEN 'head' WHEN regexp_matches(s, '^<!--\s*Page\s*\d+\s*-->') THEN 'mark'
+  WHEN regexp_matches(s, '^[•·]\s*\d+\s*[•·]$') OR regexp_matches(s, '^(?:第\s*\d+\s*章|运输层|网络层|应用层|[^a-zA-Z]{{2,}})[\s\pZ]+\d+$') THEN 'furniture'
+  WHEN {" OR ".join(f"starts_with(s, '{m}')" for m in D.METADATA)} THEN 'meta' ELSE 'text' END AS kind FROM (SELECT *, {S.strip('x')} AS s FROM l)),
+d AS (SELECT *, count(*) FILTER (WHERE kind = 'head') OVER (PARTITION BY chunk_id ORDER BY i) AS page, lag(kind) OVER (PARTITION BY chunk_id ORDER BY i) AS before FROM c),
+e AS (SELECT *, count(*) FILTER (WHERE kind = 'text') OVER (PARTITION BY chunk_id, page ORDER BY i) AS texts FROM d),
+f AS (SELECT *, kind = 'meta' AND page > 0 AND texts = 0 AS led FROM e),
+o AS (SELECT chunk_id, i, led, CASE WHEN kind = 'blank' THEN CASE WHEN before IS DISTINCT FROM 'blank' THEN ltrim(x, ' 　') END WHEN kind = 'head' THEN '<!-- Page ' || regexp_extract(s, '^## Page (\d+)', 1) || ' -->' WHEN kind = 'mark' THEN x
+  WHEN kind = 'furniture' OR led THEN NULL WHEN {S.strip(r"regexp_replace(x, '\s*\.{{3,}}\s*\d+', '', 'g')".replace("{{", "{").replace("}}", "}"))} <> '' THEN ltrim(regexp_replace(x, '\s*\.{{3,}}\s*\d+', '', 'g'), ' 　') END AS y FROM f)"""
+_HEADS = r"'(?m)^(#{1,6})\s+(.+)$'"
+
 SQL = {
+    "clean_markdown": f"""WITH {_LINES}, g AS (SELECT chunk_id, string_agg(y, chr(10) ORDER BY i) AS clean, bool_or(led) AS any_led FROM o GROUP BY chunk_id)
+SELECT k.chunk_id, CASE WHEN k.content IS NOT NULL THEN coalesce(clean, '') END AS clean, CASE WHEN coalesce(any_led, false) THEN NULL ELSE '{{}}' END AS pages FROM chunks k LEFT JOIN g USING (chunk_id)""",
+    "header_tree": f"""WITH RECURSIVE h AS MATERIALIZED (SELECT chunk_id, node, length(marks) AS level, {S.strip('t')} AS title FROM (
+  SELECT chunk_id, unnest(regexp_extract_all(content, {_HEADS}, 1)) AS marks, unnest(regexp_extract_all(content, {_HEADS}, 2)) AS t, unnest(range(0, len(regexp_extract_all(content, {_HEADS})))) AS node FROM chunks WHERE content IS NOT NULL)),
+u AS MATERIALIZED (SELECT h.*, coalesce((SELECT max(j.node) FROM h j WHERE j.chunk_id = h.chunk_id AND j.node < h.node AND j.level < h.level), -1) AS parent FROM h),
+w(chunk_id, node, path) AS (SELECT chunk_id, node, title FROM u WHERE parent = -1 UNION ALL SELECT u.chunk_id, u.node, w.path || ' > ' || u.title FROM u JOIN w ON u.chunk_id = w.chunk_id AND u.parent = w.node)
+SELECT u.chunk_id, node, parent, level, title, path FROM u JOIN w USING (chunk_id, node)
+UNION ALL SELECT chunk_id, 0, -1, 0, '', '' FROM chunks WHERE content IS NOT NULL AND len(regexp_extract_all(content, {_HEADS})) = 0""",
     "evidence_gate": _GATED + "SELECT triple_id, coalesce(reason_code, 'KEPT') AS reason_code FROM g",
     "evidence_span": _GATED + "SELECT triple_id, strpos(content, evidence) - 1 AS start, strpos(content, evidence) - 1 + length(evidence) AS \"end\" FROM g WHERE contains(content, evidence)",
     "gate_stats": _GATED + "SELECT source_file, chunk_index, count(*) AS proposed, count(*) FILTER (WHERE reason_code IS NULL) AS kept, count(*) FILTER (WHERE reason_code IS NOT NULL) AS dropped FROM g GROUP BY 1, 2",

@@ -50,8 +50,8 @@ def at(row_id: str) -> str:
 E = f"""e AS MATERIALIZED (
   SELECT * FROM (
     SELECT entity_id, extractor_version, {at('entity_id')} AS pos, {strip('name')} AS name, lower({strip('type')}) AS type,
-      {text('description')} AS description, greatest(coalesce(frequency, 1), 1) AS frequency FROM entities_raw)
-  WHERE type IN ({listed(ENTITY_TYPES)}) AND length(name) BETWEEN 2 AND 30)"""
+      {text('description')} AS description, greatest(coalesce(frequency, 1), 1) AS frequency FROM entities_raw WHERE length(name) BETWEEN 2 AND 30)
+  WHERE type IN ({listed(ENTITY_TYPES)}) AND name <> '')"""
 #: Valid triples.
 T = f"""t AS MATERIALIZED (
   SELECT * FROM (

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from kiteloom.operators import evaluate as V
 
@@ -37,11 +38,35 @@ def test_errors_are_sorted_and_limited(spark):
         V.errors(pred, gold, "fp", -1)
 
 
-def test_type_by_chunk_takes_the_last(spark):
-    t = spark.createDataFrame([("f", "a", "contains", "b")], "file_stem string, head string, relation string, tail string")
-    e = spark.createDataFrame([("f", "a", "concept", 1), ("f", "a", "metric", 2), ("g", "b", "metric", 1)], "file_stem string, name string, type string, at int")
-    r = V.type_by_chunk(t, e).first()
-    assert (r["head_type"], r["tail_type"]) == ("metric", "")
+RAW_E = "entity_id long, file_stem string, ord long, name string, type string, extractor_version string"
+RAW_T = "file_stem string, source_file string, head string, relation string, tail string, evidence string"
+
+
+def test_raw_types_come_from_the_own_chunk_and_the_last_one_holds(spark):
+    e = spark.createDataFrame([(1, "f", 0, " a ", "concept", "zs"), (2, "f", 1, "a", "metric", "zs"), (3, "g", 0, "b", "metric", "zs"), (4, "f", 2, "a", " ", "zs"), (5, "f", 3, "a", "protocol", "fs")], RAW_E)
+    t = V.raw_triples(spark.createDataFrame([("f", "s", "a", "Contains", " b ", None), ("f", "s", "a", "contains", " ", None)], RAW_T))
+    kinds = V.types_by_chunk(e, {"zs": F.col("extractor_version") == "zs"})
+    r = V.raw_typed(t, kinds, ["zs"]).first()
+    assert (r["head_zs"], r["tail_zs"], r["relation"], r["tail"]) == ("metric", "", "Contains", "b") and t.count() == 1
+
+
+def test_raw_scores_keep_what_is_not_valid(spark, rows):
+    """Unknown relations and self loops count; chunks that a run did not extract give it no predictions; gold needs a source."""
+    e = spark.createDataFrame([(1, "f", 0, "a", "concept", "zs"), (2, "g", 0, "a", "concept", "fs")], RAW_E)
+    t = spark.createDataFrame([("f", "s", "a", "unheard", "a", ""), ("g", "s", "a", "contains", "b", ""), ("h", None, "x", "contains", "y", "")], RAW_T)
+    runs = {r: F.col("extractor_version") == r for r in ("zs", "fs")}
+    got = rows(V.raw_scores(V.raw_sides(e, t, runs), ["zs", "fs"]).where("scope = 'triple'"), "run", "tp", "fp", "fn")
+    assert got == [("fs", 1, 0, 1), ("zs", 1, 0, 1)]
+    assert rows(V.raw_coverage(e, t, runs)) == [("fs", 1, 1), ("zs", 1, 1)]
+    none = V.raw_scores(V.raw_sides(e.limit(0), t.limit(0), runs), ["zs", "fs"])
+    assert none.count() == 0
+
+
+def test_run_scores(spark, rows):
+    e = spark.createDataFrame([("TCP", "protocol", 1, True), ("window", "concept", 2, True), ("window", "metric", 1, False)], "name string, type string, at int, zs boolean")
+    t = spark.createDataFrame([("TCP", "contains", "window"), ("TCP", "contains", "TCP协议")], "head string, relation string, tail string")
+    got = rows(V.run_scores(V.run_sides(e, t, {"zs": F.col("zs")}), ["zs"]), "scope", "tp", "fp", "fn")
+    assert got == [("entity", 1, 1, 1), ("relation", 0, 1, 1), ("triple", 0, 1, 1)]
 
 
 def brute(pred, gold, close):
@@ -60,6 +85,44 @@ def test_relaxed_tiers_against_loops(spark):
     fp, fg = frame(spark, *pred), frame(spark, *gold)
     assert tuple(V.substring_match(V.normed(fp), V.normed(fg)).first())[:3] == brute(pred, gold, sub)
     assert tuple(V.head_relation_match(V.normed(fp), V.normed(fg)).first())[:3] == brute(pred, gold, head)
+    none = V.normed(fp.limit(0))
+    assert tuple(V.substring_match(none, none).first())[:3] == (0, 0, 0)
+
+
+def test_names_are_compared_in_their_compatibility_form(spark):
+    pred, gold = frame(spark, ("ＴＣＰ", "p", "contains", "b（x）", "c")), frame(spark, ("tcp", "p", "contains", "b", "c"), ("(x)", "p", "contains", "!", "c"))
+    assert tuple(V.strict(V.normed(pred), V.normed(gold), V.TRIPLE).first())[:3] == (1, 0, 1)  # punctuation alone is given, so it counts
+    assert tuple(V.substring_match(V.normed(pred), V.normed(gold)).first())[:3] == (1, 0, 0)
+
+
+def test_inside_against_loops(spark, rows):
+    texts = ["a", "b", "ab", "aab", "abab", "ba", "", "界", "世界", "世世界"]
+    df = spark.createDataFrame([(x,) for x in texts], "x string")
+    want = sorted((x, y) for x in texts for y in texts if x and y and x != y and x in y)
+    assert rows(V.inside(df, df.withColumnRenamed("x", "y"))) == sorted(want, key=repr)
+
+
+E = "name string, type string, description string, at int"
+
+
+def test_aliases(spark, rows):
+    pred = spark.createDataFrame([("tcp", "p", "transfer, 传输控制", 1), ("x", "c", "", 2)], E)
+    gold = spark.createDataFrame([("TCP", "p", "", 1), ("传输控制", "q", "", 2)], E)
+    assert rows(V.entity_match(pred, gold), "tier", "tp", "fp", "fn") == [("alias", 1, 3, 1), ("name_norm", 1, 1, 1)]
+    # the end is no gold entity of its type, but one of its name's aliases is gold's under another type
+    pt = frame(spark, ("tcp", "c", "contains", "x", "c"))
+    gt = frame(spark, ("TCP", "c", "contains", "x", "c"))
+    r = V.alias_match(pt, gt, V.alias_index(pred, True), V.alias_index(gold, False)).first()
+    assert tuple(r)[:3] == (1, 0, 0)
+
+
+def test_candidate_tiers(spark, rows):
+    pool = spark.createDataFrame([("TCP", "p", "", 1), ("tcp", "c", "", 2), ("TCP Reno", "p", "", 3), ("!", "p", "", 4), ("流量", "p", "UDP报文", 5)], E)
+    gold = spark.createDataFrame([("tcp", "p"), ("reno", "p"), ("udp", "p"), ("zz 量", "q"), ("zz", "c"), (" ", "p")], "name string, type string")
+    got = rows(V.candidate_tiers(gold, pool), "gold_name", "tier", "name", "rank")
+    assert got == [("reno", "substring", "!", 2), ("reno", "substring", "TCP Reno", 1), ("tcp", "exact_norm", "TCP", 1), ("udp", "substring", "!", 1), ("udp", "substring", "流量", 2)]
+    shared = V.candidate_tiers(spark.createDataFrame([("ab 量大", "p")], "name string, type string"), pool.where("name != '!'"))
+    assert rows(shared, "tier", "name") == [("token_overlap", "流量")]
 
 
 def test_attribute_accuracy(spark, rows):
@@ -71,6 +134,9 @@ def test_attribute_accuracy(spark, rows):
 def test_judge_recall(spark, rows):
     gold = frame(spark, ("a", "p", "contains", "b", "c"), ("a", "p", "depends_on", "b", "c"), ("z", "p", "contains", "b", "c"))
     pred = frame(spark, ("A", "p", "contains", "B", "c"))
-    align = spark.createDataFrame([("a", "A"), ("b", "B")], "gold_name string, pred_name string")
+    align = spark.createDataFrame([("a", "p", "A"), ("b", "c", "B")], "gold_name string, gold_type string, pred_name string")
     same = spark.createDataFrame([("depends_on", "contains")], "gold_relation string, pred_relation string")
-    assert rows(V.judge_recall(gold, align, pred, same)) == [("exact_relation", 1), ("missed", 1), ("relation_judge", 1)]
+    judged = V.judge_recall(gold, align, pred, same)
+    assert rows(judged, "head", "relation", "match_kind") == [("a", "contains", "exact_relation"), ("a", "depends_on", "relation_judge"), ("z", "contains", "missed")]
+    assert tuple(V.recall_summary(judged).first()) == (3, 1, 1, 1, 0.666667)
+    assert V.recall_summary(judged.limit(0)).first()["recall"] == 0.0
