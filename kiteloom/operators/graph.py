@@ -103,3 +103,15 @@ def drawing(nodes: DataFrame) -> DataFrame:
     top = nodes.agg(F.max("frequency").alias("m"))
     f, m = F.col("frequency").cast("double"), F.col("m").cast("double")
     return nodes.crossJoin(top).select("name", "label", F.round(2.5 + 8.5 * F.log(f + 1) / F.log(m + 1), 6).alias("radius"), F.round(100 * f / m, 6).alias("bar"))
+
+
+def link_widths(links: DataFrame) -> DataFrame:
+    """Width to draw each edge with, by its share of the largest frequency; a missing frequency counts as 1."""
+    top = links.agg(F.max("frequency").alias("m"))
+    width = 0.6 + 3.4 * F.coalesce("frequency", F.lit(1)).cast("double") / F.col("m").cast("double")
+    return links.crossJoin(top).select("source", "type", "target", F.round(width, 6).alias("width"))  # one row
+
+
+def graph_counts(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """One row: nodes and relationships."""
+    return nodes.agg(F.count("*").alias("nodes")).crossJoin(links.agg(F.count("*").alias("relationships")))

@@ -98,35 +98,66 @@ def embedding_rows(entities: DataFrame, max_description: int = 160) -> DataFrame
     return one.withColumn("encoded", encode_row(F.col("name"), F.col("type"), F.col("description"), max_description))
 
 
-def _sides(triples: DataFrame) -> DataFrame:
-    """Each triple once for each of its ends."""
-    return triples.withColumn("name", F.explode(F.array("head", "tail")))
+def mentions(raw: DataFrame) -> DataFrame:
+    """Mentions as context sees them, also where they aren't valid: normalised name, type, description."""
+    e = raw.select(normalize_name(F.col("name")).alias("name"), F.lower(text_or_empty(F.col("type"))).alias("type"), text_or_empty(F.col("description")).alias("description"), order_of("entity_id").alias("at"))
+    return e.where("name != ''")
 
 
-def entity_context(entities: DataFrame, triples: DataFrame) -> DataFrame:
-    """Of each name mentions, first type given, different descriptions and different triples; names of triples alone count too."""
-    e = entities.where(F.coalesce("name", F.lit("")) != "")
-    words = e.groupBy("name").agg(
-        F.count("*").alias("frequency"), F.min_by("type", F.when(F.col("type") != "", F.col("at"))).alias("type"), F.count_distinct(F.when(F.col("description") != "", F.col("description"))).alias("descriptions")
-    )
-    t = _sides(triples).where(F.coalesce("name", F.lit("")) != "").groupBy("name").agg(F.count_distinct("head", "relation", "tail", "evidence").alias("triples"))
-    zero = F.lit(0).cast("bigint")
-    return words.join(t, "name", "full").select(
-        "name", F.coalesce("type", F.lit("")).alias("type"), *[F.coalesce(c, zero).alias(c) for c in ("frequency", "descriptions", "triples")]
-    )
+def stated(raw: DataFrame) -> DataFrame:
+    """Triples as context sees them, also where they aren't valid: normalised ends, what else is given, and an id."""
+    said = {c: text_or_empty(F.col(c)) for c in ("relation", "evidence", "source_file", "chunk_index")}
+    ident = F.concat_ws(":", F.coalesce("file_stem", F.lit("")), F.coalesce("evidence_id", F.lit("")))
+    return raw.select(ident.alias("id"), F.coalesce(normalize_name(F.col("head")), F.lit("")).alias("head"), F.coalesce(normalize_name(F.col("tail")), F.lit("")).alias("tail"), *[c.alias(n) for n, c in said.items()], order_of("triple_id").alias("at"))
+
+
+def _sides(triples: DataFrame) -> DataFrame:
+    """Each different triple once for each of its ends that has a name."""
+    one = triples.groupBy("id", "head", "relation", "tail", "evidence", "source_file", "chunk_index").agg(F.min("at").alias("at"))
+    return one.withColumn("name", F.explode(F.array_distinct(F.array("head", "tail")))).where("name != ''")
 
 
 def relation_summary(triples: DataFrame) -> DataFrame:
-    """Triples of each name by relation."""
+    """Different triples of each name by relation."""
     return _sides(triples).groupBy("name", "relation").agg(F.count("*").alias("n"))
 
 
-def context_round_robin(triples: DataFrame, limit: int = 6) -> DataFrame:
-    """The triples shown of each name: one of every relation in turn, up to the limit. position counts from 1."""
-    sides = _sides(triples).select("name", "relation", "triple_id", "at")
-    turn = sides.withColumn("turn", F.row_number().over(W.partitionBy("name", "relation").orderBy("at"))).where(F.col("turn") <= limit)
-    shown = turn.withColumn("position", F.row_number().over(W.partitionBy("name").orderBy("turn", "relation", "at")))
-    return shown.where(F.col("position") <= limit).select("name", "relation", "triple_id", F.col("position").cast("bigint").alias("position"))
+def context_round_robin(triples: DataFrame, limit: int = 8) -> DataFrame:
+    """The triples shown of each name, and ``position`` from 1: all of them in order if they are no more than the limit, else one
+    of every relation in turn, relations in order of their names. A limit of zero or less shows all.
+
+    Ranks are cut at the limit within (name, relation) before a name's triples meet, so a name's rows are never all sorted together.
+    """
+    sides = _sides(triples)
+    turn = sides.withColumn("turn", F.row_number().over(W.partitionBy("name", "relation").orderBy("at", "id")))
+    totals = sides.groupBy("name").agg(F.count("*").alias("total"))
+    kept = turn.where(F.col("turn") <= limit) if limit > 0 else turn
+    whole = (F.col("total") <= limit) | F.lit(limit <= 0)
+    order = [F.when(whole, 0).otherwise(F.col("turn")), F.when(whole, "").otherwise(F.col("relation")), "at", "id"]
+    placed = kept.join(totals, "name").withColumn("position", F.row_number().over(W.partitionBy("name").orderBy(*order)).cast("bigint"))
+    return placed.where(F.col("position") <= limit) if limit > 0 else placed
+
+
+def entity_context(entities: DataFrame, triples: DataFrame, limit: int = 8, descriptions: int = 3) -> DataFrame:
+    """Of each name that a mention or a triple has: type (the first given), frequency (mentions), the first different
+    descriptions and their number, the triples of ``context_round_robin`` and their number, relations with counts.
+
+    Lists are as long as the limits, however often a name is met. Mentions and triples are those of ``mentions`` and ``stated``.
+    """
+    words = entities.groupBy("name").agg(F.count("*").alias("frequency"), F.min_by("type", F.when(F.col("type") != "", F.col("at"))).alias("type"))
+    said = entities.where("description != ''").groupBy("name", "description").agg(F.min("at").alias("at"))
+    first = said.withColumn("r", F.row_number().over(W.partitionBy("name").orderBy("at", "description"))).where(F.col("r") <= descriptions)
+    texts = first.groupBy("name").agg(F.transform(F.sort_array(F.collect_list(F.struct("r", "description"))), lambda x: x["description"]).alias("descriptions"))
+    numbers = said.groupBy("name").agg(F.count("*").alias("total_descriptions"))
+    shown = context_round_robin(triples, limit)
+    listed = shown.groupBy("name").agg(F.max("total").alias("total_triples"), F.sort_array(F.collect_list(F.struct("position", "id", "head", "relation", "tail", "evidence", "source_file", "chunk_index"))).alias("triples"))
+    by = relation_summary(triples).groupBy("name").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("relation", "n")))).alias("relations"))
+    out = words.join(listed, "name", "full").join(texts, "name", "left").join(numbers, "name", "left").join(by, "name", "left")
+    zero = F.lit(0).cast("bigint")
+    return out.select(
+        "name", F.coalesce("type", F.lit("")).alias("type"), *[F.coalesce(c, zero).alias(c) for c in ("frequency", "total_descriptions", "total_triples")],
+        F.coalesce("descriptions", F.array().cast("array<string>")).alias("descriptions"), F.coalesce("triples", F.array()).alias("triples"), F.coalesce("relations", F.create_map().cast("map<string,bigint>")).alias("relations"),
+    )
 
 
 def apply_canonical(triples: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -138,14 +169,17 @@ def apply_canonical(triples: DataFrame, mapping: DataFrame) -> DataFrame:
 
 
 def merge_graph(raw_entities: DataFrame, raw_triples: DataFrame, mapping: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Entities and typed triples of the merged graph. With a mapping from resolution, names are normalised before and
-    after it is applied, as often as the two passes of merging do."""
-    e, t = valid_entities(raw_entities), valid_triples(raw_triples)
+    """Entities and typed triples of the merged graph. With a mapping ``name, canonical`` from resolution the merged
+    entities are renamed and merged again, and triples are normalised before and after they are renamed."""
+    entities, t = merge_entities(valid_entities(raw_entities)), valid_triples(raw_triples)
     if mapping is not None:
         m = mapping.select("name", "canonical")
-        once = e.withColumn("name", normalize_name(F.col("name")))
-        e = once.join(m, "name", "left").withColumn("name", F.coalesce("canonical", "name")).drop("canonical")
-        t = t.withColumn("head", normalize_name(F.col("head"))).withColumn("tail", normalize_name(F.col("tail")))
+        entities = merge_entities(entities.join(m, "name", "left").withColumn("name", F.coalesce("canonical", "name")).drop("canonical"))
+        t = t.withColumns({c: normalize_name(F.col(c)) for c in ("head", "tail")})
         t = apply_canonical(t, m)
-    entities = merge_entities(e)
     return entities, typed_triples(merge_triples(t, entities), entities)
+
+
+def ordered(merged: DataFrame) -> DataFrame:
+    """By frequency, equal ones as they were first met."""
+    return merged.orderBy(F.desc("frequency"), "at")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_ids, compact_name, cosine, normalize_name
+from ..functions.text import clean_ids, compact_name, cosine, normalize_name, strip, text_or_empty
 from ..session import Scratch
 
 
@@ -16,19 +16,22 @@ def usable_vector(e: Column, dim: int = 64) -> Column:
     return F.coalesce((F.size(e) == dim) & fine & F.exists(e, lambda x: x != 0), F.lit(False))
 
 
-def knn_candidates(vectors: DataFrame, threshold: float, k: int = 10, blocks: int = 16, dim: int = 64) -> DataFrame:
+def knn_candidates(vectors: DataFrame, threshold: float, k: int = 10, block: int = 2048, dim: int = 64) -> DataFrame:
     """Pairs left_id < right_id of one type whose cosine reaches the threshold and of which the right one is among the
     left one's k nearest of that type (others than itself; equal scores by id). Exact; scores have six decimals.
 
-    Every vector meets every vector of its type, block by block, as one numpy product a block pair: both sides are dealt to
-    ``blocks`` parts of each type, so no task holds a whole type, and only each block's k best of a row leave it.
+    Every vector meets every vector of its type, block by block, as one numpy product a block pair. The number of parts of a
+    type follows from its size, so a task holds about two times ``block`` vectors however large the type is, and only each block's k best
+    of a row leave it. All pairs are compared, which is what exact means; for more vectors than that allows there are approximate
+    graphs.
     """
     import numpy as np
     import pandas as pd
 
     v = vectors.where(usable_vector(F.col("embedding"), dim) & F.col("type").isNotNull())
-    v = v.select(F.col("node_id").alias("id"), "type", "embedding").withColumn("b", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-    others = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    sizes = v.groupBy("type").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    v = v.select(F.col("node_id").alias("id"), "type", "embedding").join(sizes, "type").withColumn("b", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    others = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     left = v.withColumn("c", others).select("type", "b", "c", F.lit(0).alias("side"), "id", "embedding")
     right = v.withColumnRenamed("b", "c").withColumn("b", others).select("type", "b", "c", F.lit(1).alias("side"), "id", "embedding")
 
@@ -80,18 +83,23 @@ def _linked(pairs: DataFrame, links: DataFrame, a: str, b: str) -> DataFrame:
     return pairs.withColumns({"lo": F.least(na, nb), "hi": F.greatest(na, nb)}).join(flagged, ["lo", "hi"], "left").withColumn("linked", F.coalesce("linked", F.lit(False))).drop("lo", "hi")
 
 
-def pair_rules(candidates: DataFrame, triples: DataFrame) -> DataFrame:
-    """Decision and reason of the rules, in their order: types differ, strong names, a direct relation, else for review."""
-    c = _linked(candidates, linked_pairs(triples), "left_name", "right_name")
+def with_rules(pairs: DataFrame, triples: DataFrame) -> DataFrame:
+    """Pairs with ``rule`` and ``rule_code``: types differ, strong names, a direct relation, else for review, in this order."""
+    c = _linked(pairs, linked_pairs(triples), "left_name", "right_name")
     same = F.coalesce(F.col("left_type") == F.col("right_type"), F.col("left_type").isNull() & F.col("right_type").isNull())
-    reason = (
+    code = (
         F.when(~same, "TYPE_MISMATCH")
         .when(F.coalesce(strong_names(F.col("left_name"), F.col("right_name")), F.lit(False)), "STRONG_NAME_EQUIVALENCE")
         .when(F.col("linked"), "DIRECT_RELATION_SELF_LOOP_RISK")
         .otherwise("AMBIGUOUS_REQUIRES_LLM")
     )
-    what = F.when(F.col("reason_code") == "STRONG_NAME_EQUIVALENCE", "merge").when(F.col("reason_code") == "AMBIGUOUS_REQUIRES_LLM", "needs_llm").otherwise("keep_separate")
-    return c.withColumn("reason_code", reason).withColumn("decision", what).drop("linked")
+    what = F.when(F.col("rule_code") == "STRONG_NAME_EQUIVALENCE", "merge").when(F.col("rule_code") == "AMBIGUOUS_REQUIRES_LLM", "needs_llm").otherwise("keep_separate")
+    return c.withColumn("rule_code", code).withColumn("rule", what).drop("linked")
+
+
+def pair_rules(candidates: DataFrame, triples: DataFrame) -> DataFrame:
+    """Decision and reason of the rules alone."""
+    return with_rules(candidates, triples).withColumnsRenamed({"rule": "decision", "rule_code": "reason_code"})
 
 
 def budget_split(ruled: DataFrame, budget: int) -> DataFrame:
@@ -106,25 +114,55 @@ def budget_split(ruled: DataFrame, budget: int) -> DataFrame:
     return ruled.join(inside, "candidate_id", "left").withColumn("route", route).drop("inside")
 
 
-def validated(judged: DataFrame) -> DataFrame:
-    """A judge's replies as untrusted input: unknown decisions, names outside the pair, evidence that wasn't shown and
-    merges with conflicts become ``unsure`` with a reason.
+DECISIONS = ("merge", "keep_separate", "unsure")
+
+
+def judgement(judged: DataFrame, require_support: bool = True) -> DataFrame:
+    """A judge's replies as untrusted input, before the rules are heard again.
 
-    ``judged``: decision, canonical_name, left_name, right_name, supporting_evidence_ids, conflict_evidence_ids, shown_ids, truncated.
+    ``judged``: left_name, right_name, decision, canonical_name, reason_code, reason, supporting_evidence_ids,
+    conflict_evidence_ids, shown_ids, and optionally ``parsed`` (whether the reply was an object) and ``error``. An unknown
+    decision is unsure; a merge stays one only if its name is one of the pair, its support is not empty and was all shown, and no
+    conflict that was shown is named. Support that was not shown makes any decision unsure; what was not shown is left out.
     """
-    d = F.lower(F.regexp_replace(F.coalesce("decision", F.lit("")), r"(?U)^\s+|\s+$", ""))
-    support, conflict = clean_ids(F.col("supporting_evidence_ids")), clean_ids(F.col("conflict_evidence_ids"))
+    word = F.lower(text_or_empty(F.col("decision")))
+    named = strip(F.col("canonical_name"))
     shown = F.coalesce("shown_ids", F.array().cast("array<string>"))
-    merge = d == "merge"
-    reason = (
-        F.when(~d.isin("merge", "keep_separate", "unsure"), "INVALID_DECISION")
-        .when((F.size(F.array_except(support, shown)) > 0) | (F.size(F.array_except(conflict, shown)) > 0), "UNKNOWN_EVIDENCE")
-        .when(merge & ~F.coalesce(F.col("canonical_name").isin(F.col("left_name"), F.col("right_name")), F.lit(False)), "CANONICAL_NOT_IN_PAIR")
-        .when(merge & (F.size(support) == 0), "NO_SUPPORT")
-        .when(merge & (F.size(conflict) > 0), "CONFLICTING_EVIDENCE")
-        .when(merge & F.coalesce("truncated", F.lit(False)), "TRUNCATED_CONTEXT")
-    )
-    return judged.withColumns({"problem": reason, "decision": F.when(reason.isNull(), d).otherwise("unsure")})
+    said, against = clean_ids(F.col("supporting_evidence_ids")), clean_ids(F.col("conflict_evidence_ids"))
+    support, conflict = F.array_intersect(said, shown), F.array_intersect(against, shown)
+    known = F.size(support) == F.size(said)
+    fine = F.coalesce(named.isin(F.col("left_name"), F.col("right_name")), F.lit(False)) & known & (F.size(conflict) == 0)
+    fine = fine & (F.size(support) > 0) if require_support else fine
+    decided = F.when(word == "merge", F.when(fine, "merge").otherwise("unsure")).when(known & word.isin(*DECISIONS), word).otherwise("unsure")
+    code = F.coalesce(F.nullif(strip(F.col("reason_code")), F.lit("")), F.lit("LLM_RECHECK"))
+    failed = F.col("error").isNotNull() if "error" in judged.columns else F.lit(False)
+    unread = ~F.col("parsed") if "parsed" in judged.columns else F.lit(False)
+    none = F.array().cast("array<string>")
+    lost = failed | unread
+    return judged.withColumns({
+        "decision": F.when(lost, "unsure").otherwise(decided), "method": F.lit("llm_recheck"),
+        "reason_code": F.when(failed, "LLM_REQUEST_FAILED").when(unread, "LLM_INVALID_JSON").otherwise(code),
+        "reason": F.when(failed, F.col("error") if "error" in judged.columns else "").when(unread, "").otherwise(text_or_empty(F.col("reason"))),
+        "canonical_name": F.when(~lost & (word == "merge") & fine, named),
+        "supporting_evidence_ids": F.when(lost, none).otherwise(support), "conflict_evidence_ids": F.when(lost, none).otherwise(conflict),
+    }).drop("parsed", "error")
+
+
+def validated(judged: DataFrame, triples: DataFrame, require_support: bool = True, allow_truncated: bool = False) -> DataFrame:
+    """``judgement``, and then the rules again: where they keep a pair separate it stays so, whatever the judge says, and a merge
+    that was judged from a cut context (``truncated``) is unsure. ``judged`` also has left_type and right_type."""
+    r = with_rules(judgement(judged, require_support), triples)
+    hard = F.col("rule") == "keep_separate"
+    cut = ~hard & (F.col("decision") == "merge") & F.coalesce("truncated", F.lit(False)) & F.lit(not allow_truncated)
+    none = F.array().cast("array<string>")
+    return r.withColumns({
+        "decision": F.when(hard, "keep_separate").when(cut, "unsure").otherwise(F.col("decision")),
+        "method": F.when(hard, "rules_after_llm").otherwise(F.col("method")),
+        "reason_code": F.when(hard, F.col("rule_code")).when(cut, "TRUNCATED_CONTEXT").otherwise(F.col("reason_code")),
+        "reason": F.when(hard, "the rules keep the pair separate").when(cut, "the judge did not see the whole context").otherwise(F.col("reason")),
+        "canonical_name": F.when(hard | cut, F.lit(None).cast("string")).otherwise(F.col("canonical_name")),
+        "supporting_evidence_ids": F.when(hard, none).otherwise(F.col("supporting_evidence_ids")), "conflict_evidence_ids": F.when(hard, none).otherwise(F.col("conflict_evidence_ids")),
+    }).drop("rule", "rule_code")
 
 
 def components(pairs: DataFrame, left: str, right: str) -> DataFrame:
@@ -137,6 +175,13 @@ def components(pairs: DataFrame, left: str, right: str) -> DataFrame:
     spark = pairs.sparkSession
     scratch = Scratch(spark, "stars")
     e = scratch.cut(pairs.select(F.least(left, right).alias("v"), F.greatest(left, right).alias("u")).where("u != v").distinct())
+
+    def mark(df: DataFrame) -> tuple:
+        """Number of edges and two sums over them: equal only if a round changed nothing."""
+        h = lambda seed: F.sum(F.pmod(F.xxhash64("u", "v", F.lit(seed)), F.lit(1 << 40)))
+        return tuple(df.agg(F.count("*"), h(1), h(2)).collect()[0])
+
+    state = mark(e)
     while True:
         both = e.select("u", "v").union(e.select(F.col("v"), F.col("u")).toDF("u", "v"))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
@@ -145,20 +190,21 @@ def components(pairs: DataFrame, left: str, right: str) -> DataFrame:
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")).select("x.*")
         after = scratch.cut(small.where("u != v").distinct())
-        changed = not after.select("u", "v").exceptAll(e.select("u", "v")).isEmpty() or after.count() != e.count()
-        if not changed:
-            break
         scratch.drop(e)
-        e = after
+        e, before, state = after, state, mark(after)
+        if state == before:
+            break
     return e.select(F.col("u").alias("name"), F.col("v").alias("cluster")).union(e.select("v", "v").distinct())
 
 
-def cluster_conflicts(accepted: DataFrame, triples: DataFrame, largest: int = 4) -> DataFrame:
+def cluster_conflicts(accepted: DataFrame, triples: DataFrame, largest: int = 4, complete: bool = True) -> DataFrame:
     """``cluster, size, reason_code``: clusters of accepted merges that must stay apart, with the first reason.
 
     Too large; else, over pairs of members in name order that aren't strong names, the first that was not accepted itself
-    or that a triple links. Pairs are made only within clusters of at most ``largest`` members.
+    (if ``complete``) or that a triple links. Pairs are made only within clusters of at most ``largest`` members.
     """
+    if largest < 1:
+        raise ValueError("largest must be at least 1")
     scratch = Scratch(accepted.sparkSession, "clusters")
     pairs = scratch.cut(accepted.select(F.least("left_name", "right_name").alias("a"), F.greatest("left_name", "right_name").alias("b")).where("a != b").distinct())
     member = scratch.cut(components(pairs, "a", "b"))
@@ -168,7 +214,7 @@ def cluster_conflicts(accepted: DataFrame, triples: DataFrame, largest: int = 4)
     inside = ok.select("cluster", "size", F.col("name").alias("a")).join(ok.select("cluster", F.col("name").alias("b")), "cluster").where("a < b")
     inside = inside.where(~strong_names(F.col("a"), F.col("b"))).join(pairs.withColumn("taken", F.lit(True)), ["a", "b"], "left")
     inside = _linked(inside, linked_pairs(triples), "a", "b")
-    why = F.when(F.col("taken").isNull(), "INCOMPLETE_PAIRWISE_CLUSTER").when(F.col("linked"), "DIRECT_RELATION_IN_CLUSTER")
+    why = F.when(F.col("taken").isNull() & F.lit(complete), "INCOMPLETE_PAIRWISE_CLUSTER").when(F.col("linked"), "DIRECT_RELATION_IN_CLUSTER")
     wrong = inside.withColumn("reason_code", why).where("reason_code is not null")
     first = wrong.groupBy("cluster", "size").agg(F.min_by("reason_code", F.struct("a", "b")).alias("reason_code"))
     return big.union(first)

@@ -16,7 +16,11 @@ from .merging import triples_of
 
 
 def _gated(spark, sf) -> DataFrame:
-    return X.gate(triples_of(spark, sf), table(spark, sf, "chunks"))
+    """Triples as a reviewer might return them: the first of each chunk is to be dropped, the second has a span at the start."""
+    t = triples_of(spark, sf)
+    second = F.col("evidence_id") == "T2"
+    t = t.withColumns({"decision": F.when(F.col("evidence_id") == "T1", "drop").otherwise("keep"), "span_start": F.when(second, 0), "span_end": F.when(second, F.length("evidence"))})
+    return X.gate(t, table(spark, sf, "chunks"))
 
 
 def evidence_gate(spark, sf):
@@ -32,23 +36,20 @@ def gate_stats(spark, sf):
 
 
 def parse_model_json(spark, sf):
-    """Each raw triple as a model's fenced reply, parsed and validated again."""
+    """Each raw triple and its ends as a model's fenced reply, parsed and validated again."""
     t = table(spark, sf, "triples_raw")
     item = F.struct(*[F.coalesce(c, F.lit("")).alias(c) for c in ("head", "relation", "tail", "evidence")])
-    reply = F.concat(F.lit("Here it is:\n```json\n"), F.to_json(F.struct(F.array().cast("array<string>").alias("entities"), F.array(item).alias("triples"))), F.lit("\n```\nDone."))
+    named = F.array(*[F.struct(F.col(c).alias("name"), F.col("relation").alias("description"), F.lit(" Concept ").alias("type")) for c in ("head", "tail")])
+    reply = F.concat(F.lit("Here it is:\n```json\n"), F.to_json(F.struct(named.alias("entities"), F.array(item).alias("triples"))), F.lit("\n```\nDone."))
     got = X.parse_replies(t.select(F.col("triple_id").alias("reply_id"), reply.alias("reply")))
-    return got.select(F.col("reply_id").alias("triple_id"), "status", F.explode("triples").alias("x")).select("triple_id", "status", "x.head", "x.relation", "x.tail", "x.evidence", "x.decision")
+    names = F.array_join(F.transform("entities", lambda x: x["name"]), "|")
+    return got.select(F.col("reply_id").alias("triple_id"), "status", names.alias("names"), F.explode("triples").alias("x")).select("triple_id", "status", "names", "x.head", "x.relation", "x.tail", "x.evidence", "x.decision")
 
 
 def rule_extraction(spark, sf):
-    """Extraction by sentence patterns of every text that triples were read from, parsed, with evidence checked: kept and
-    dropped triples by reason."""
-    chunks = table(spark, sf, "triples_raw").select(F.col("triple_id").alias("chunk_id"), F.col("evidence").alias("content"))
-    replies = X.propose(chunks, RuleExtractor).withColumnRenamed("chunk_id", "reply_id")
-    found = X.parse_replies(replies).select("reply_id", "status", F.explode_outer("triples").alias("x")).select("reply_id", "status", "x.*")
-    keyed = chunks.select("chunk_id", "content", F.col("chunk_id").cast("string").alias("source_file"), F.lit("0").alias("chunk_index"))
-    gated = X.gate(found.where("head is not null").withColumn("source_file", F.col("reply_id").cast("string")).withColumn("chunk_index", F.lit("0")), keyed)
-    return gated.groupBy("status", F.coalesce("reason_code", F.lit("KEPT")).alias("reason_code")).agg(F.count("*").alias("n"))
+    """Extraction of every chunk by sentence patterns, with the evidence checked."""
+    got = X.extract_chunks(table(spark, sf, "chunks"), RuleExtractor)
+    return got.select("chunk_id", "status", *[F.col(f"stats.{c}").cast("bigint").alias(c) for c in ("proposed_entities", "proposed_triples", "kept_triples", "dropped_triples")])
 
 
 def token_counts(spark, sf):
@@ -111,7 +112,7 @@ QUERIES = {f.__name__: f for f in (evidence_gate, evidence_span, gate_stats, par
 _GATED = f"""WITH {S.T},
 c AS (SELECT source_file, chunk_index::VARCHAR AS chunk_index, arg_min(coalesce(content, ''), chunk_id) AS content FROM chunks WHERE source_file IS NOT NULL AND chunk_index IS NOT NULL GROUP BY 1, 2),
 x AS (SELECT t.*, coalesce(c.content, '') AS content FROM t LEFT JOIN c USING (source_file, chunk_index)),
-g AS MATERIALIZED (SELECT *, CASE WHEN NOT contains(content, evidence) THEN 'EVIDENCE_NOT_IN_CHUNK' WHEN NOT contains(evidence, head) THEN 'HEAD_NOT_IN_EVIDENCE' WHEN NOT contains(evidence, tail) THEN 'TAIL_NOT_IN_EVIDENCE' END AS reason_code FROM x)
+g AS MATERIALIZED (SELECT *, CASE WHEN evidence_id = 'T1' THEN 'LOW_CONFIDENCE_DROP' WHEN NOT contains(content, evidence) THEN 'EVIDENCE_NOT_IN_CHUNK' WHEN evidence_id = 'T2' AND strpos(content, evidence) > 1 THEN 'SPAN_MISMATCH' WHEN NOT contains(evidence, head) THEN 'HEAD_NOT_IN_EVIDENCE' WHEN NOT contains(evidence, tail) THEN 'TAIL_NOT_IN_EVIDENCE' END AS reason_code FROM x)
 """
 _TOKENS = r"len(regexp_extract_all(coalesce({}, ''), '[\x{{4e00}}-\x{{9fff}}]|[A-Za-z0-9_]+|[^\s]'))"
 
@@ -139,7 +140,8 @@ UNION ALL SELECT chunk_id, 0, -1, 0, '', '' FROM chunks WHERE content IS NOT NUL
     "evidence_gate": _GATED + "SELECT triple_id, coalesce(reason_code, 'KEPT') AS reason_code FROM g",
     "evidence_span": _GATED + "SELECT triple_id, strpos(content, evidence) - 1 AS start, strpos(content, evidence) - 1 + length(evidence) AS \"end\" FROM g WHERE contains(content, evidence)",
     "gate_stats": _GATED + "SELECT source_file, chunk_index, count(*) AS proposed, count(*) FILTER (WHERE reason_code IS NULL) AS kept, count(*) FILTER (WHERE reason_code IS NOT NULL) AS dropped FROM g GROUP BY 1, 2",
-    "parse_model_json": f"WITH {S.T} SELECT triple_id, 'ok' AS status, head, relation, tail, evidence, 'keep' AS decision FROM t",
+    "parse_model_json": f"""WITH {S.T}, r AS (SELECT triple_id, {S.text('head')} AS h, {S.text('tail')} AS x FROM triples_raw)
+SELECT triple_id, 'ok' AS status, concat_ws('|', CASE WHEN length(h) BETWEEN 2 AND 30 THEN h END, CASE WHEN length(x) BETWEEN 2 AND 30 THEN x END) AS names, head, relation, tail, evidence, 'keep' AS decision FROM t JOIN r USING (triple_id)""",
     "token_counts": f"SELECT chunk_id, {_TOKENS.format('content')} AS tokens FROM chunks",
     "doc_inventory": rf"""SELECT coalesce(source, '') AS source, count(*) AS documents, sum(coalesce(length(text), 0))::BIGINT AS characters,
   sum(coalesce(length(regexp_replace(text, '[\s\pZ\x{{85}}\x0B]+', '', 'g')), 0))::BIGINT AS visible, sum({_TOKENS.format('text')})::BIGINT AS tokens FROM documents GROUP BY 1""",

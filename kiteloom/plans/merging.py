@@ -62,22 +62,22 @@ def embedding_rows(spark, sf):
 
 
 def _loose(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """Mentions and triples as context sees them: stripped, also where they aren't valid."""
-    e = table(spark, sf, "entities_raw").select(strip(F.col("name")).alias("name"), F.lower(strip(F.col("type"))).alias("type"), F.coalesce(strip(F.col("description")), F.lit("")).alias("description"), M.order_of("entity_id").alias("at"))
-    t = table(spark, sf, "triples_raw").select("triple_id", M.order_of("triple_id").alias("at"), *[F.coalesce(strip(F.col(c)), F.lit("")).alias(c) for c in ("head", "relation", "tail", "evidence")])
-    return e, t
+    """Mentions and triples as context sees them, also where they aren't valid."""
+    return M.mentions(table(spark, sf, "entities_raw")), M.stated(table(spark, sf, "triples_raw"))
 
 
 def entity_context(spark, sf):
-    return M.entity_context(*_loose(spark, sf))
+    c = M.entity_context(*_loose(spark, sf))
+    ids = F.array_join(F.transform("triples", lambda x: x["id"]), " ")
+    return c.select("name", "type", "frequency", "total_descriptions", "total_triples", F.array_join("descriptions", " | ").alias("descriptions"), ids.alias("triples"))
 
 
 def relation_summary(spark, sf):
-    return M.relation_summary(_loose(spark, sf)[1].where("head != '' and tail != ''"))
+    return M.relation_summary(_loose(spark, sf)[1])
 
 
 def context_round_robin(spark, sf):
-    return M.context_round_robin(_loose(spark, sf)[1].where("head != '' and tail != ''"))
+    return M.context_round_robin(_loose(spark, sf)[1]).select("name", "relation", "id", "position")
 
 
 def canonical_apply(spark, sf):
@@ -89,9 +89,16 @@ def canonical_apply(spark, sf):
 
 QUERIES = {f.__name__: f for f in (valid_entities, valid_triples, normalize_names, compact_names, merge_entities, merge_triples, graph_stats, type_conflicts, embedding_rows, entity_context, relation_summary, context_round_robin, canonical_apply)}
 
-_SIDES = f"""s AS (
-  SELECT triple_id, {S.at('triple_id')} AS pos, {S.text('head')} AS head, {S.text('relation')} AS relation, {S.text('tail')} AS tail, {S.text('evidence')} AS evidence FROM triples_raw),
-n AS (SELECT head AS name, * FROM s UNION ALL SELECT tail AS name, * FROM s)"""
+SIDES = f"""o AS MATERIALIZED (SELECT id, head, relation, tail, evidence, source_file, chunk_index, evidence_id, min(pos) AS pos FROM (
+  SELECT coalesce(file_stem, '') || ':' || coalesce(evidence_id, '') AS id, evidence_id, {S.at('triple_id')} AS pos, coalesce({S.normalize('head')}, '') AS head, {S.text('relation')} AS relation, coalesce({S.normalize('tail')}, '') AS tail,
+    {S.text('evidence')} AS evidence, {S.text('source_file')} AS source_file, {S.text('chunk_index')} AS chunk_index FROM triples_raw) GROUP BY ALL),
+n AS MATERIALIZED (SELECT head AS name, * FROM o WHERE head <> '' UNION ALL SELECT tail AS name, * FROM o WHERE tail <> '' AND tail <> head),
+nt AS MATERIALIZED (SELECT name, count(*) AS total FROM n GROUP BY name),
+nr AS (SELECT n.*, total, row_number() OVER (PARTITION BY n.name, relation ORDER BY pos, id) AS turn FROM n JOIN nt USING (name)),
+np AS MATERIALIZED (SELECT * FROM (SELECT name, relation, id, row_number() OVER (PARTITION BY name ORDER BY CASE WHEN total <= 8 THEN 0 ELSE turn END, CASE WHEN total <= 8 THEN '' ELSE relation END, pos, id) AS position FROM nr) WHERE position <= 8),
+ms AS MATERIALIZED (SELECT * FROM (SELECT {S.normalize('name')} AS name, lower({S.text('type')}) AS type, {S.text('description')} AS description, {S.at('entity_id')} AS pos FROM entities_raw) WHERE name <> ''),
+md AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY name ORDER BY pos, description) AS r FROM (SELECT name, description, min(pos) AS pos FROM ms WHERE description <> '' GROUP BY 1, 2)),
+mt_ AS MATERIALIZED (SELECT name, count(*) AS total FROM md GROUP BY name)"""
 
 SQL = {
     "valid_entities": f"WITH {S.E} SELECT entity_id, name, type, description, frequency FROM e",
@@ -107,16 +114,14 @@ UNION ALL SELECT CASE WHEN grouping(relation) = 1 THEN 'total_triples' ELSE 'tri
 SELECT name, string_agg(type || '=' || f, '; ' ORDER BY type) AS types FROM b GROUP BY name HAVING count(*) > 1""",
     "embedding_rows": f"""WITH {S.E}, o AS (SELECT name, type, sum(frequency)::BIGINT AS frequency, coalesce(arg_min(description, pos) FILTER (WHERE description <> ''), '') AS description FROM e GROUP BY name, type)
 SELECT name, type, frequency, description, '实体类型：' || type || '；实体名：' || name || CASE WHEN description <> '' THEN '；定义：' || substr(description, 1, 160) ELSE '' END AS encoded FROM o""",
-    "entity_context": f"""WITH {_SIDES},
-w AS (SELECT name, count(*) AS frequency, arg_min(type, pos) FILTER (WHERE type <> '') AS type, count(DISTINCT description) FILTER (WHERE description <> '') AS descriptions
-  FROM (SELECT {S.strip('name')} AS name, lower({S.strip('type')}) AS type, {S.text('description')} AS description, {S.at('entity_id')} AS pos FROM entities_raw) WHERE name <> '' GROUP BY name),
-x AS (SELECT name, count(DISTINCT (head, relation, tail, evidence)) AS triples FROM n WHERE name <> '' GROUP BY name)
-SELECT name, coalesce(type, '') AS type, coalesce(frequency, 0) AS frequency, coalesce(descriptions, 0) AS descriptions, coalesce(triples, 0) AS triples FROM w FULL JOIN x USING (name)""",
-    "relation_summary": f"WITH {_SIDES} SELECT name, relation, count(*) AS n FROM n WHERE head <> '' AND tail <> '' GROUP BY name, relation",
-    "context_round_robin": f"""WITH {_SIDES},
-r AS (SELECT name, relation, triple_id, pos, row_number() OVER (PARTITION BY name, relation ORDER BY pos) AS turn FROM n WHERE head <> '' AND tail <> ''),
-p AS (SELECT name, relation, triple_id, row_number() OVER (PARTITION BY name ORDER BY turn, relation, pos) AS position FROM r WHERE turn <= 6)
-SELECT * FROM p WHERE position <= 6""",
+    "entity_context": f"""WITH {SIDES},
+w AS (SELECT name, count(*) AS frequency, arg_min(type, pos) FILTER (WHERE type <> '') AS type FROM ms GROUP BY name),
+d AS (SELECT name, string_agg(description, ' | ' ORDER BY r) AS texts FROM md WHERE r <= 3 GROUP BY name),
+x AS (SELECT name, string_agg(id, ' ' ORDER BY position) AS ids FROM np GROUP BY name)
+SELECT coalesce(w.name, nt.name) AS name, coalesce(type, '') AS type, coalesce(frequency, 0) AS frequency, coalesce(mt_.total, 0) AS total_descriptions, coalesce(nt.total, 0) AS total_triples, coalesce(texts, '') AS descriptions, coalesce(ids, '') AS triples
+FROM w FULL JOIN nt ON w.name = nt.name LEFT JOIN d ON d.name = coalesce(w.name, nt.name) LEFT JOIN x ON x.name = coalesce(w.name, nt.name) LEFT JOIN mt_ ON mt_.name = coalesce(w.name, nt.name)""",
+    "relation_summary": f"WITH {SIDES} SELECT name, relation, count(*) AS n FROM n GROUP BY name, relation",
+    "context_round_robin": f"WITH {SIDES} SELECT name, relation, id, position FROM np",
     "canonical_apply": f"""WITH {S.T},
 m AS (SELECT {S.strip('name')} AS name, min({S.strip('canonical_name')}) AS canonical FROM entities_raw WHERE name IS NOT NULL AND canonical_name IS NOT NULL AND trim(canonical_name) <> '' GROUP BY 1)
 SELECT triple_id, coalesce(h.canonical, head) AS head, relation, coalesce(x.canonical, tail) AS tail FROM t LEFT JOIN m h ON t.head = h.name LEFT JOIN m x ON t.tail = x.name

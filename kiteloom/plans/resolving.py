@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import normalize_name
+from ..models import DescribedJudge
 from ..operators import graph as G
+from ..operators import judging as J
+from ..operators import merge as M
 from ..operators import resolve as R
 from ..session import table
 from . import sqlparts as S
-from .merging import graph_of, triples_of
+from .merging import SIDES, graph_of, triples_of
 
 BUDGET = 200
 
@@ -68,9 +72,75 @@ def canonical_pick(spark, sf):
 
 
 def decisions_validated(spark, sf):
-    """Decisions of the judge as untrusted input; ids of evidence of either kind count as shown."""
-    d = table(spark, sf, "merge_decisions").withColumn("shown_ids", F.array_union(F.coalesce("supporting_evidence_ids", F.array().cast("array<string>")), F.coalesce("conflict_evidence_ids", F.array().cast("array<string>"))))
-    return R.validated(d.withColumn("truncated", F.lit(False))).groupBy("decision", F.coalesce("problem", F.lit("")).alias("problem")).agg(F.count("*").alias("n"))
+    """Decisions of the earlier run as a judge's replies: what was shown are the ids of the triples of either name, and the
+    context was cut where there are more than eight triples or three descriptions of one of them."""
+    d = table(spark, sf, "merge_decisions").select("decision_id", "left_id", "right_id", "left_name", "right_name", "decision", "canonical_name", "reason_code", "reason", "supporting_evidence_ids", "conflict_evidence_ids")
+    kinds = table(spark, sf, "entity_vectors").select("node_id", "type")
+    d = d.join(kinds.toDF("left_id", "left_type"), "left_id", "left").join(kinds.toDF("right_id", "right_type"), "right_id", "left")
+    raw = table(spark, sf, "triples_raw")
+    ids = M.stated(raw).select(F.substring_index("id", ":", -1).alias("t"), F.explode(F.array_distinct(F.array("head", "tail"))).alias("name")).groupBy("name").agg(F.collect_set(F.nullif("t", F.lit(""))).alias("ids"))
+    c = M.entity_context(M.mentions(table(spark, sf, "entities_raw")), M.stated(raw))
+    about = c.select("name", ((F.col("total_triples") > 8) | (F.col("total_descriptions") > 3)).alias("cut")).join(ids, "name", "left")
+    for side in ("left", "right"):
+        d = d.withColumn(f"{side}_n", normalize_name(F.col(f"{side}_name"))).join(about.toDF(f"{side}_n", f"{side}_cut", f"{side}_ids"), f"{side}_n", "left")
+    none = F.array().cast("array<string>")
+    d = d.withColumn("shown_ids", F.array_union(F.coalesce("left_ids", none), F.coalesce("right_ids", none))).withColumn("truncated", F.coalesce("left_cut", F.lit(False)) | F.coalesce("right_cut", F.lit(False)))
+    joined = lambda k: F.array_join(F.sort_array(k), ",").alias(k)
+    return R.validated(d, M.valid_triples(raw)).select("decision_id", "decision", "method", "reason_code", "canonical_name", joined("supporting_evidence_ids"), joined("conflict_evidence_ids"))
+
+
+def _merge_candidates(spark, sf):
+    """Candidates of the earlier run between entities of the merged graph."""
+
+    def find(entities: DataFrame) -> DataFrame:
+        a, b = normalize_name(F.col("left_name")), normalize_name(F.col("right_name"))
+        c = _candidates(spark, sf).where("score <= 1").select(F.least(a, b).alias("left_name"), F.greatest(a, b).alias("right_name"), "score").where((a != b))
+        one = c.groupBy("left_name", "right_name").agg(F.max("score").alias("score"))
+        kinds = entities.select("name", "type")
+        return one.join(kinds.toDF("left_name", "left_type"), "left_name").join(kinds.toDF("right_name", "right_type"), "right_name")
+
+    return find
+
+
+def _merged(spark, sf, strategy: str = "recheck") -> J.Merged:
+    return J.merge_directory(table(spark, sf, "entities_raw"), table(spark, sf, "triples_raw"), _merge_candidates(spark, sf), DescribedJudge, J.MergeOptions(strategy, similarity_threshold=0.78))
+
+
+def judge_context(spark, sf):
+    """What a judge is shown of each candidate pair."""
+    first = M.merge_entities(M.valid_entities(table(spark, sf, "entities_raw")))
+    pairs = _merge_candidates(spark, sf)(first).where("score >= 0.78")
+    c = J.pair_context(pairs, M.entity_context(M.mentions(table(spark, sf, "entities_raw")), M.stated(table(spark, sf, "triples_raw"))))
+    return c.select("left_name", "right_name", "truncated", F.array_join("shown_ids", " ").alias("shown"), *[F.col(f"{s}.{k}").alias(f"{s}_{k}") for s in ("left", "right") for k in ("omitted_descriptions", "omitted_triples")])
+
+
+def judged_merge(spark, sf):
+    """The decision on every candidate pair, with a judge that merges what has descriptions."""
+    return _merged(spark, sf).decisions.select("left_name", "right_name", "decision", "method", "reason_code", "canonical_name", F.size("supporting_evidence_ids").cast("bigint").alias("support"))
+
+
+def merge_summary(spark, sf):
+    return _merged(spark, sf).summary
+
+
+def merged_graph(spark, sf):
+    """The graph after resolution, in its order."""
+    return _merged(spark, sf).triples.select("head", "head_type", "relation", "tail", "tail_type", "frequency", F.to_json("evidences").alias("evidences"))
+
+
+def merged_graph_entities(spark, sf):
+    return _merged(spark, sf).entities.select("name", "type", "description", "frequency")
+
+
+def rules_only_merge(spark, sf):
+    """The decisions without a judge."""
+    return _merged(spark, sf, "rules").decisions.select("left_name", "right_name", "decision", "method", "reason_code", "canonical_name")
+
+
+def ordered_candidates(spark, sf):
+    """Candidate pairs from the most similar on."""
+    c = _candidates(spark, sf).where("score is not null").select("candidate_id", "left_name", "right_name", "score")
+    return J.ordered_candidates(c)
 
 
 def _view(spark, sf) -> tuple[DataFrame, DataFrame]:
@@ -121,11 +191,19 @@ def node_radius(spark, sf):
     return G.drawing(_view(spark, sf)[0])
 
 
+def link_width(spark, sf):
+    return G.link_widths(_view(spark, sf)[1])
+
+
+def graph_counts(spark, sf):
+    return G.graph_counts(*_view(spark, sf))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         knn_candidates, rescored_candidates, pair_rules, budget_split, merge_audit_counts, components, cluster_conflicts, canonical_pick, decisions_validated,
-        top_nodes, induced_subgraph, graph_meta, visible_links, neighbors, out_degree, degree_summary, cumulative_share, parallel_edges, node_radius,
+        judge_context, judged_merge, rules_only_merge, merge_summary, merged_graph, merged_graph_entities, ordered_candidates, link_width, graph_counts, top_nodes, induced_subgraph, graph_meta, visible_links, neighbors, out_degree, degree_summary, cumulative_share, parallel_edges, node_radius,
     )
 }
 
@@ -155,6 +233,39 @@ tl AS MATERIALIZED (SELECT * FROM li WHERE source IN (SELECT name FROM tn) AND t
 """
 _FINE = lambda a: f"len({a}) = 64 AND list_bool_and(list_transform({a}, lambda x: x IS NOT NULL AND isfinite(x))) AND list_bool_or(list_transform({a}, lambda x: x <> 0))"
 
+_IDS = lambda c: f"list_sort(list_distinct(list_filter(list_transform(coalesce({c}, []), lambda x: {S.strip('x')}), lambda x: x <> '')))"
+_CUT = "(coalesce({a}.total, 0) > 8 OR coalesce({b}.total, 0) > 3)"
+#: Accepted and other decisions on candidate pairs between merged entities: cd, ru (rules), de (decisions).
+_DECIDE = lambda judged: f"""WITH RECURSIVE {S.E}, {S.T}, {S.ME}, {_LINKS}, {SIDES},
+cd AS MATERIALIZED (SELECT lo AS left_name, hi AS right_name, a.type AS left_type, b.type AS right_type, a.frequency AS lf, b.frequency AS rf, score FROM (SELECT least(l, r) AS lo, greatest(l, r) AS hi, max(score) AS score FROM (
+  SELECT {S.normalize('left_name')} AS l, {S.normalize('right_name')} AS r, score FROM merge_candidates WHERE score <= 1) WHERE l <> r GROUP BY 1, 2) JOIN me a ON a.name = lo JOIN me b ON b.name = hi WHERE score >= 0.78),
+cn AS MATERIALIZED (SELECT cd.*, {S.normalize('left_name')} AS nl, {S.normalize('right_name')} AS nq FROM cd),
+ru AS MATERIALIZED (SELECT cn.*, CASE WHEN left_type <> right_type THEN 'TYPE_MISMATCH' WHEN {_STRONG('left_name', 'right_name')} THEN 'STRONG_NAME_EQUIVALENCE' WHEN lk.lo IS NOT NULL THEN 'DIRECT_RELATION_SELF_LOOP_RISK' ELSE 'AMBIGUOUS_REQUIRES_LLM' END AS code,
+  CASE WHEN (-lf, length(left_name), left_name) <= (-rf, length(right_name), right_name) THEN left_name ELSE right_name END AS best FROM cn LEFT JOIN lk ON lk.lo = least(nl, nq) AND lk.hi = greatest(nl, nq)),
+bu AS MATERIALIZED (SELECT left_name, right_name FROM ru WHERE code = 'AMBIGUOUS_REQUIRES_LLM' ORDER BY score DESC, left_name, right_name LIMIT {{budget}}),
+sh AS MATERIALIZED (SELECT ru.*, lm.total AS ld, rm.total AS rd, {_CUT.format(a='lt', b='lm')} OR {_CUT.format(a='rt', b='rm')} AS cut FROM ru LEFT JOIN nt lt ON lt.name = left_name LEFT JOIN nt rt ON rt.name = right_name LEFT JOIN mt_ lm ON lm.name = left_name LEFT JOIN mt_ rm ON rm.name = right_name),
+de AS MATERIALIZED (
+  SELECT left_name, right_name, CASE WHEN code = 'STRONG_NAME_EQUIVALENCE' THEN 'merge' ELSE 'keep_separate' END AS decision, 'rules' AS method, code AS reason_code, CASE WHEN code = 'STRONG_NAME_EQUIVALENCE' THEN best END AS canonical_name, 0 AS support FROM ru WHERE code <> 'AMBIGUOUS_REQUIRES_LLM'
+  {judged})""".replace("{budget}", str(BUDGET))
+_WITH_JUDGE = _DECIDE("""UNION ALL SELECT left_name, right_name, 'unsure', 'llm_recheck_skipped', 'MAX_PAIRS_EXCEEDED', NULL, 0 FROM ru WHERE code = 'AMBIGUOUS_REQUIRES_LLM' AND (left_name, right_name) NOT IN (SELECT (left_name, right_name) FROM bu)
+  UNION ALL SELECT left_name, right_name, CASE WHEN ld > 0 AND rd > 0 AND NOT cut THEN 'merge' ELSE 'unsure' END, 'llm_recheck', CASE WHEN ld > 0 AND rd > 0 THEN CASE WHEN cut THEN 'TRUNCATED_CONTEXT' ELSE 'DESCRIBED' END ELSE 'LLM_RECHECK' END,
+    CASE WHEN ld > 0 AND rd > 0 AND NOT cut THEN left_name END, CASE WHEN ld > 0 AND rd > 0 THEN 2 ELSE 0 END FROM sh JOIN bu USING (left_name, right_name)""")
+_RULES_ALONE = _DECIDE("UNION ALL SELECT left_name, right_name, 'unsure', 'rules_only', 'LLM_RECHECK_DISABLED', NULL, 0 FROM ru WHERE code = 'AMBIGUOUS_REQUIRES_LLM'")
+_RESOLVED = f"""{_WITH_JUDGE},
+pr AS MATERIALIZED (SELECT DISTINCT left_name AS a, right_name AS b FROM de WHERE decision = 'merge'), {_REACH('pr')},
+sz AS (SELECT cluster, count(*) AS size FROM mem GROUP BY cluster),
+ip AS MATERIALIZED (SELECT a.cluster, a.name AS a, b.name AS b, {S.normalize('a.name')} AS na, {S.normalize('b.name')} AS nb FROM mem a JOIN mem b ON a.cluster = b.cluster AND a.name < b.name JOIN sz ON sz.cluster = a.cluster AND sz.size <= 4 WHERE NOT {_STRONG('a.name', 'b.name')}),
+bad AS MATERIALIZED (SELECT cluster FROM sz WHERE size > 4 UNION SELECT ip.cluster FROM ip LEFT JOIN pr ON pr.a = ip.a AND pr.b = ip.b LEFT JOIN lk ON lk.lo = least(na, nb) AND lk.hi = greatest(na, nb) WHERE pr.a IS NULL OR lk.lo IS NOT NULL),
+mp AS MATERIALIZED (SELECT mem.name, c.canonical FROM mem JOIN (SELECT cluster, arg_min(mem.name, {{'p': CASE WHEN mem.name IN (SELECT canonical_name FROM de WHERE decision = 'merge') THEN 0 ELSE 1 END, 'f': -me.frequency, 'l': length(mem.name), 'n': mem.name}}) AS canonical FROM mem JOIN me ON me.name = mem.name GROUP BY cluster) c USING (cluster)
+  WHERE cluster NOT IN (SELECT cluster FROM bad)),
+fe AS MATERIALIZED (SELECT n AS name, arg_min(type, pos) AS type, coalesce(arg_min(description, pos) FILTER (WHERE description <> ''), '') AS description, sum(frequency)::BIGINT AS frequency
+  FROM (SELECT me.*, {S.normalize('coalesce(mp.canonical, me.name)')} AS n FROM me LEFT JOIN mp ON mp.name = me.name) WHERE length(n) >= 2 GROUP BY n),
+t1 AS (SELECT {S.normalize('head')} AS head, relation, {S.normalize('tail')} AS tail, evidence, pos FROM t),
+t2 AS (SELECT coalesce(h.canonical, head) AS head, relation, coalesce(x.canonical, tail) AS tail, evidence, pos FROM t1 LEFT JOIN mp h ON h.name = head LEFT JOIN mp x ON x.name = tail),
+t3 AS (SELECT {S.normalize('head')} AS head, relation, {S.normalize('tail')} AS tail, evidence, pos FROM t2 WHERE head <> tail),
+ft AS MATERIALIZED (SELECT head, relation, tail, sum(n)::BIGINT AS frequency, coalesce(list(evidence ORDER BY pos) FILTER (WHERE evidence <> ''), []) AS evidences FROM (
+  SELECT head, relation, tail, evidence, count(*) AS n, min(pos) AS pos FROM t3 WHERE head <> tail AND head IN (SELECT name FROM fe) AND tail IN (SELECT name FROM fe) GROUP BY ALL) GROUP BY head, relation, tail)"""
+
 SQL = {
     "knn_candidates": f"""WITH v AS MATERIALIZED (SELECT node_id, type, embedding::DOUBLE[] AS e FROM entity_vectors WHERE type IS NOT NULL AND CASE WHEN embedding IS NULL THEN false WHEN len(embedding) <> 64 THEN false ELSE {_FINE('embedding')} END),
 p AS (SELECT l.node_id AS left_id, r.node_id AS right_id, round(list_cosine_similarity(l.e, r.e), 6) AS score FROM v l JOIN v r ON l.type = r.type AND l.node_id <> r.node_id),
@@ -162,11 +273,35 @@ k AS (SELECT *, row_number() OVER (PARTITION BY left_id ORDER BY score DESC, rig
 SELECT left_id, right_id, score FROM k WHERE n <= 10 AND score >= 0.78 AND left_id < right_id""",
     "rescored_candidates": f"""WITH v AS MATERIALIZED (SELECT node_id, embedding::DOUBLE[] AS e FROM entity_vectors WHERE CASE WHEN embedding IS NULL THEN false WHEN len(embedding) <> 64 THEN false ELSE {_FINE('embedding')} END)
 SELECT candidate_id, round(list_cosine_similarity(l.e, r.e), 6) AS cosine FROM merge_candidates LEFT JOIN v l ON left_id = l.node_id LEFT JOIN v r ON right_id = r.node_id""",
-    "decisions_validated": f"""WITH d AS (SELECT *, lower({S.text('decision')}) AS w, list_filter(list_transform(coalesce(supporting_evidence_ids, []), lambda x: {S.strip('x')}), lambda x: x <> '') AS s,
-  list_filter(list_transform(coalesce(conflict_evidence_ids, []), lambda x: {S.strip('x')}), lambda x: x <> '') AS c, coalesce(supporting_evidence_ids, []) || coalesce(conflict_evidence_ids, []) AS shown FROM merge_decisions),
-p AS (SELECT w, CASE WHEN w NOT IN ('merge', 'keep_separate', 'unsure') THEN 'INVALID_DECISION' WHEN NOT list_has_all(shown, s) OR NOT list_has_all(shown, c) THEN 'UNKNOWN_EVIDENCE'
-  WHEN w = 'merge' AND NOT coalesce(canonical_name IN (left_name, right_name), false) THEN 'CANONICAL_NOT_IN_PAIR' WHEN w = 'merge' AND len(s) = 0 THEN 'NO_SUPPORT' WHEN w = 'merge' AND len(c) > 0 THEN 'CONFLICTING_EVIDENCE' END AS problem FROM d)
-SELECT CASE WHEN problem IS NULL THEN w ELSE 'unsure' END AS decision, coalesce(problem, '') AS problem, count(*) AS n FROM p GROUP BY 1, 2""",
+    "decisions_validated": f"""WITH {S.T}, {_LINKS}, {SIDES},
+ev AS (SELECT name, list(DISTINCT evidence_id) FILTER (WHERE evidence_id <> '') AS ids FROM n GROUP BY name),
+ab AS MATERIALIZED (SELECT coalesce(nt.name, mt_.name) AS name, coalesce(nt.total, 0) > 8 OR coalesce(mt_.total, 0) > 3 AS cut FROM nt FULL JOIN mt_ ON nt.name = mt_.name),
+d AS MATERIALIZED (SELECT m.*, lv.type AS lt, rv.type AS rt, {S.normalize('left_name')} AS nl, {S.normalize('right_name')} AS nq FROM merge_decisions m LEFT JOIN entity_vectors lv ON lv.node_id = left_id LEFT JOIN entity_vectors rv ON rv.node_id = right_id),
+f AS MATERIALIZED (SELECT d.*, lower({S.text('decision')}) AS w, {S.strip('d.canonical_name')} AS cn, {_IDS('supporting_evidence_ids')} AS s0, {_IDS('conflict_evidence_ids')} AS c0, coalesce(le.ids, []) || coalesce(re.ids, []) AS shown,
+  coalesce(la.cut, false) OR coalesce(ra.cut, false) AS cut, lk.lo IS NOT NULL AS linked FROM d LEFT JOIN ev le ON le.name = nl LEFT JOIN ev re ON re.name = nq LEFT JOIN ab la ON la.name = nl LEFT JOIN ab ra ON ra.name = nq LEFT JOIN lk ON lk.lo = least(nl, nq) AND lk.hi = greatest(nl, nq)),
+g AS MATERIALIZED (SELECT *, list_filter(s0, lambda x: list_contains(shown, x)) AS s1, list_filter(c0, lambda x: list_contains(shown, x)) AS c1,
+  CASE WHEN lt IS DISTINCT FROM rt THEN 'TYPE_MISMATCH' WHEN coalesce({_STRONG('left_name', 'right_name')}, false) THEN NULL WHEN linked THEN 'DIRECT_RELATION_SELF_LOOP_RISK' END AS hard FROM f),
+h AS (SELECT *, len(s1) = len(s0) AS known, coalesce(cn IN (left_name, right_name), false) AND len(s1) = len(s0) AND len(c1) = 0 AND len(s1) > 0 AS fine FROM g),
+i AS (SELECT *, CASE WHEN w = 'merge' THEN CASE WHEN fine THEN 'merge' ELSE 'unsure' END WHEN known AND w IN ('keep_separate', 'unsure') THEN w ELSE 'unsure' END AS dec FROM h),
+j AS (SELECT *, hard IS NULL AND dec = 'merge' AND cut AS late FROM i)
+SELECT decision_id, CASE WHEN hard IS NOT NULL THEN 'keep_separate' WHEN late THEN 'unsure' ELSE dec END AS decision, CASE WHEN hard IS NOT NULL THEN 'rules_after_llm' ELSE 'llm_recheck' END AS method,
+  CASE WHEN hard IS NOT NULL THEN hard WHEN late THEN 'TRUNCATED_CONTEXT' ELSE coalesce(nullif({S.strip('reason_code')}, ''), 'LLM_RECHECK') END AS reason_code,
+  CASE WHEN hard IS NULL AND NOT late AND dec = 'merge' THEN cn END AS canonical_name, CASE WHEN hard IS NULL THEN array_to_string(s1, ',') ELSE '' END AS supporting_evidence_ids, CASE WHEN hard IS NULL THEN array_to_string(c1, ',') ELSE '' END AS conflict_evidence_ids FROM j""",
+    "judge_context": f"""{_WITH_JUDGE},
+sd AS (SELECT left_name, right_name, unnest(['L', 'R']) AS side, unnest([left_name, right_name]) AS name FROM cd),
+si AS (SELECT sd.*, coalesce(nt.total, 0) AS tt, coalesce(mt_.total, 0) AS dd FROM sd LEFT JOIN nt USING (name) LEFT JOIN mt_ USING (name)),
+wd AS (SELECT left_name, right_name, string_agg(w, ' ' ORDER BY side) AS shown, bool_or(tt > 8 OR dd > 3) AS truncated, max(CASE WHEN side = 'L' THEN greatest(dd - 3, 0) END) AS left_omitted_descriptions, max(CASE WHEN side = 'L' THEN greatest(tt - 8, 0) END) AS left_omitted_triples,
+  max(CASE WHEN side = 'R' THEN greatest(dd - 3, 0) END) AS right_omitted_descriptions, max(CASE WHEN side = 'R' THEN greatest(tt - 8, 0) END) AS right_omitted_triples
+  FROM (SELECT *, nullif(array_to_string(list_transform(range(1, least(dd, 3) + 1), lambda i: side || '_DESC_' || i) || list_transform(range(1, least(tt, 8) + 1), lambda i: side || '_TRIPLE_' || i), ' '), '') AS w FROM si) GROUP BY 1, 2)
+SELECT left_name, right_name, truncated, coalesce(shown, '') AS shown, left_omitted_descriptions, left_omitted_triples, right_omitted_descriptions, right_omitted_triples FROM wd""",
+    "judged_merge": _WITH_JUDGE + "\nSELECT left_name, right_name, decision, method, reason_code, canonical_name, support::BIGINT AS support FROM de",
+    "rules_only_merge": _RULES_ALONE + "\nSELECT left_name, right_name, decision, method, reason_code, canonical_name FROM de",
+    "merge_summary": _WITH_JUDGE + "\nSELECT 'recheck' AS strategy, count(*) AS candidates, count(*) FILTER (WHERE method = 'llm_recheck') AS reviewed, count(*) FILTER (WHERE reason_code = 'MAX_PAIRS_EXCEEDED') AS skipped, count(*) FILTER (WHERE decision = 'merge') AS merged FROM de",
+    "merged_graph": _RESOLVED + "\nSELECT head, coalesce(h.type, '') AS head_type, relation, tail, coalesce(x.type, '') AS tail_type, ft.frequency, to_json(evidences)::VARCHAR AS evidences FROM ft LEFT JOIN fe h ON h.name = head LEFT JOIN fe x ON x.name = tail",
+    "merged_graph_entities": _RESOLVED + "\nSELECT name, type, description, frequency FROM fe",
+    "ordered_candidates": "SELECT candidate_id, left_name, right_name, score FROM merge_candidates WHERE score IS NOT NULL ORDER BY score DESC, left_name, right_name",
+    "link_width": _VIEW + "SELECT source, type, target, round(0.6 + 3.4 * coalesce(frequency, 1)::DOUBLE / (SELECT max(frequency) FROM li)::DOUBLE, 6) AS width FROM li",
+    "graph_counts": _VIEW + "SELECT (SELECT count(*) FROM no) AS nodes, (SELECT count(*) FROM li) AS relationships",
     "pair_rules": _RULED + "\nSELECT candidate_id, decision, reason_code FROM ru",
     "budget_split": _SPLIT + "\nSELECT candidate_id, route FROM ro",
     "merge_audit_counts": _SPLIT + """
