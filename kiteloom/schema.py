@@ -70,11 +70,12 @@ CHUNK = T.StructType(
     ]
 )
 GOLD_TRIPLE = T.StructType(
-    [T.StructField(n, T.StringType()) for n in ("head", "head_type", "relation", "tail", "tail_type", "evidence", "source_file")] + [T.StructField("chunk_index", T.IntegerType())]
+    [T.StructField(n, T.StringType()) for n in ("head", "head_type", "relation", "tail", "tail_type", "evidence", "source_file")]
+    + [T.StructField("chunk_index", T.IntegerType()), T.StructField("frequency", T.LongType()), T.StructField("evidences", T.ArrayType(T.StringType()))]
 )
 GRAPH = T.StructType(
     [
-        T.StructField("entities", T.ArrayType(RAW_ENTITY)),
+        T.StructField("entities", T.ArrayType(T.StructType([*RAW_ENTITY.fields, T.StructField("frequency", T.LongType())]))),
         T.StructField("triples", T.ArrayType(GOLD_TRIPLE)),
     ]
 )

@@ -18,7 +18,7 @@ def get_spark(app: str = "kiteloom", cores: str = "*") -> SparkSession:
     return (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", str(os.cpu_count() or 8) if cores == "*" else cores)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
@@ -63,7 +63,6 @@ class Scratch:
     def __init__(self, spark: SparkSession, tag: str):
         self.spark = spark
         self.base = f"{scratch_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex[:12]}"
-        self.paths: dict[int, str] = {}
         self.n = 0
         atexit.register(self._forget)
 
@@ -72,13 +71,12 @@ class Scratch:
         self.n += 1
         df.write.parquet(path)
         back = self.spark.read.schema(df.schema).parquet(path)
-        self.paths[id(back)] = path
+        back._scratch_path = path
         return back
 
     def drop(self, *frames: DataFrame) -> None:
         for df in frames:
-            path = self.paths.pop(id(df), None)
-            if path:
+            if path := df.__dict__.pop("_scratch_path", None):
                 self._delete(path)
 
     def _delete(self, path: str) -> None:

@@ -33,7 +33,7 @@ def test_normalize_name_null_and_own_aliases(spark):
 
 
 def test_valid_entities_bounds(spark):
-    raw = entities(spark, ("a", "concept", None, 1), ("ab", " Concept ", None, None), ("x" * 31, "concept", None, 1), (None, "concept", "d", 1), ("ab", "device", None, 1), ("ab", None, None, 1), ("  ", "metric", None, -3))
+    raw = entities(spark, ("a", "concept", None, 1), ("ab", " Concept ", None, None), ("x" * 31, "concept", None, 1), (None, "concept", "d", 1), ("ab", "device", None, 1), ("ab", None, None, 1), ("  ", "metric", None, -3), ("ab" + " " * 29, "concept", None, 1))
     assert [tuple(r) for r in M.valid_entities(raw).select("name", "type", "description", "frequency").collect()] == [("ab", "concept", "", 1)]
 
 
@@ -67,9 +67,21 @@ def test_mapping_joins_entities_and_drops_self_loops(spark, rows):
 
 
 def test_round_robin_takes_relations_in_turn(spark, rows):
-    t = M.valid_triples(triples(spark, *[("aa", "contains", f"b{i}", "") for i in range(4)], ("aa", "applied_to", "cc", "")))
-    got = rows(M.context_round_robin(t, 3).where("name = 'aa'"), "position", "relation")
-    assert got == [(1, "applied_to"), (2, "contains"), (3, "contains")]
+    t = M.stated(triples(spark, *[("aa", "contains", f"b{i}", "") for i in range(4)], ("aa", "applied_to", "cc", "")))
+    get = lambda n: rows(M.context_round_robin(t, n).where("name = 'aa'"), "position", "relation")
+    assert get(3) == [(1, "applied_to"), (2, "contains"), (3, "contains")]
+    assert get(5) == get(0) == [(1, "contains"), (2, "contains"), (3, "contains"), (4, "contains"), (5, "applied_to")]  # all fit: as they come
+
+
+def test_context_of_names(spark):
+    raw = entities(spark, ("传输控制协议", "", "one", 1), ("TCP", "Protocol", "one", 1), ("TCP", "concept", "two", 1), (" ", "concept", "x", 1), *[("TCP", "concept", f"d{i}", 1) for i in range(3)])
+    t = triples(spark, ("TCP", "contains", "TCP", "e"), ("TCP", "", None, ""))
+    got = {r["name"]: r for r in M.entity_context(M.mentions(raw), M.stated(t)).collect()}
+    c = got["TCP"]
+    assert set(got) == {"TCP"} and (c["type"], c["frequency"], c["total_descriptions"], c["descriptions"]) == ("protocol", 6, 5, ["one", "two", "d0"])
+    assert c["total_triples"] == 2 and [x["id"] for x in c["triples"]] == ["f:T0", "f:T1"] and c["relations"] == {"": 1, "contains": 1}
+    none = M.entity_context(M.mentions(raw.limit(0)), M.stated(t))
+    assert none.first()["frequency"] == 0 and M.entity_context(M.mentions(raw.limit(0)), M.stated(t.limit(0))).count() == 0
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))

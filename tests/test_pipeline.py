@@ -1,13 +1,12 @@
 import json
-from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from kiteloom import models
+from kiteloom import models, reports
 from kiteloom.operators import embed, extract, graph
 from kiteloom.operators import markdown as D
-from kiteloom.sources import readers, render, sinks
+from kiteloom.sources import files, readers, render, sinks
 from kiteloom.streaming import incremental
 
 
@@ -18,7 +17,7 @@ def test_replies(spark):
     ]
     got = {r["reply_id"]: r for r in extract.parse_replies(spark.createDataFrame(rows, "reply_id int, reply string")).collect()}
     assert [tuple(x) for x in got[1]["entities"]] == [("TCP", "protocol", "")]
-    assert [tuple(x) for x in got[1]["triples"]] == [("aa", "contains", "bb", "e", "drop", "WEAK")]
+    assert [tuple(x) for x in got[1]["triples"]] == [("aa", "contains", "bb", "e", "drop", "WEAK", "", None, None)]
     assert {i: got[i]["status"] for i in range(2, 6)} == {2: "ok", 3: "empty", 4: "failed", 5: "empty"}
 
 
@@ -44,7 +43,7 @@ def test_failures_of_models_are_rows(spark):
 def test_models_retry_and_rate():
     naps = []
     client = models.Scripted([models.TransientError(), TimeoutError(), "ok"])
-    assert models.with_retries(lambda: client.extract(""), 3, naps.append) == "ok" and naps == [1, 2]
+    assert models.with_retries(lambda: client.extract("", ""), 3, naps.append) == "ok" and naps == [1, 2]
     with pytest.raises(ValueError):
         models.with_retries(lambda: models.Scripted([ValueError()]).extract(""), 3, naps.append)
     now = [0.0]
@@ -52,12 +51,79 @@ def test_models_retry_and_rate():
     for _ in range(3):
         share.acquire()
     assert now[0] == 60.0
-    assert models.settings_of({"profiles": {"p": {"model": "m"}}, "tasks": {"t": {"profile": "p", "timeout": 5}}}, "t").timeout == 5
-    for config in ({"tasks": {}}, {"tasks": {"t": {"profile": "none"}}}, {"tasks": {"t": {"model": " "}}}, {"tasks": {"t": {"model": "m", "extra": 1}}}):
-        with pytest.raises(ValueError):
+    slow = models.RateShare(2, 5, lambda: now[0], lambda s: now.__setitem__(0, now[0] + s))  # more tasks than calls a minute
+    began = now[0]
+    for _ in range(3):
+        slow.acquire()
+    assert now[0] - began == 300.0
+    client = models.Scripted([models.TransientError(), "ok"])
+    assert models.Calls(2, 60).begin(lambda s: None)(lambda: client.extract("", "")) == "ok"
+
+
+PROFILES = {"llm": {"profiles": {"p": {"provider": {"model": "m", "supports_thinking": True}, "request": {"thinking": {"enabled": True}, "timeout_seconds": 5}, "rate_limit": {"rpm": 7}}}}}
+
+
+def test_settings():
+    s = models.settings_of({**PROFILES, "t": {"llm_profile": "p", "prompts": {"default": " say "}}}, "t")
+    assert (s.model, s.timeout_seconds, s.rpm, s.reasoning_effort, s.prompt, s.modality) == ("m", 5.0, 7, "medium", "say", "text")
+    assert models.settings_of({"x_embed": {"provider": {"model": "m"}}}, "x_embed").modality == "embedding" and s.calls().per_minute == 7
+    bad = [
+        ({}, "model"), ({"t": 3}, "mapping"), ({**PROFILES, "t": {}}, "llm_profile"), ({**PROFILES, "t": {"llm_profile": "q"}}, "unknown"), ({"t": {"provider": {"model": "m", "modality": "sound"}}}, "modality"),
+        ({"t": {"provider": {"model": "m"}, "rate_limit": {"rpm": 0}}}, "rpm"), ({"t": {"provider": {"model": "m"}, "request": {"thinking": {"enabled": True}}}}, "thinking"),
+        ({"t": {"provider": {"model": "m", "supports_thinking": "yes"}}}, "boolean"), ({"t": {"provider": {"model": "m"}, "request": {"image_detail": "most"}}}, "image_detail"),
+    ]
+    for config, what in bad:
+        with pytest.raises(ValueError, match=what):
             models.settings_of(config, "t")
 
 
+def test_requests():
+    s = models.settings_of({"ocr": {"provider": {"model": "m"}}}, "ocr")
+    got = models.chat_request(s, [models.Message("user", [("text", "a"), ("image", "data:x")])])
+    assert got["messages"][0]["content"][1] == {"type": "image_url", "image_url": {"url": "data:x", "detail": "high"}} and "reasoning_effort" not in got
+    text = models.settings_of({**PROFILES, "t": {"llm_profile": "p"}}, "t")
+    assert models.chat_request(text, [models.Message("user", "a")])["reasoning_effort"] == "medium"
+    with pytest.raises(ValueError, match="text only"):
+        models.chat_request(text, [models.Message("user", [("image", "data:x")])])
+    with pytest.raises(ValueError, match="modality"):
+        models.embedding_request(text, ["a"])
+    assert models.embedding_request(models.settings_of({"e": {"provider": {"model": "m", "modality": "embedding"}, "request": {"dimensions": 8}}}, "e"), ["a"])["dimensions"] == 8
+
+
+def test_prompts_by_mode():
+    given = {"extract": {"prompts": {"zs": " z ", "fs": "f", "review_zs": "rz", "review": "r"}}}
+    assert extract.prompts_of(given, "Zero-Shot") == ("z", "rz") and extract.prompts_of(given, None) == ("f", "r") and extract.prompts_of({}, "zs") == (extract.PROPOSE, extract.REVIEW)
+    assert extract.output_folder("zero_shot", True) == "data/triples/raw-zs-recheck" and extract.output_folder("few-shot", False) == "data/triples/raw-fs"
+
+
+CHUNKS = "chunk_id long, source_file string, chunk_index int, titles array<string>, content string"
+
+
+def test_extraction_with_review(spark):
+    first = '{"entities": [{"name": "aa", "type": "concept"}], "triples": [{"head": "aa", "relation": "contains", "tail": "bb", "evidence": "aa bb"}, {"head": "aa", "relation": "contains", "tail": "cc", "evidence": "not there"}]}'
+    checked = '{"triples": [{"head": "aa", "relation": "contains", "tail": "bb", "evidence": "aa bb", "review": {"decision": "drop", "reason_code": "weak", "reason": "why"}}]}'
+    df = spark.createDataFrame([(1, "s", 0, ["T"], "x aa bb")], CHUNKS)
+    get = lambda answers, **o: extract.extract_chunks(df, lambda: models.Scripted(list(answers)), extract.ExtractOptions(**o), models.Calls(1)).first()
+    plain = get([first])
+    assert tuple(plain["stats"]) == (1, 2, 1, 1) and tuple(plain["triples"][0]["evidence_span"]) == (2, 7)
+    assert plain["dropped"][0]["candidate"]["tail"] == "cc" and plain["dropped"][0]["review"]["reason_code"] == "EVIDENCE_NOT_IN_CHUNK"
+    assert get([first], keep_dropped=False)["stats"]["proposed_triples"] == 1 and len(get([first], strict=False)["triples"]) == 2
+    # the second frame's tasks ask the first client's list again, so reviews are told apart by what is asked
+    class Both:
+        def extract(self, text, prompt):
+            return self.answer if prompt == extract.REVIEW else first
+
+    for answer, dropped in ((checked, ["LOW_CONFIDENCE_DROP"]), ("nothing", ["EVIDENCE_NOT_IN_CHUNK"])):
+        made = type("Made", (Both,), {"answer": answer})
+        got = extract.extract_chunks(df, made, extract.ExtractOptions(review=True)).first()
+        assert [d["review"]["reason_code"] for d in got["dropped"]] == dropped
+    assert got["status"] == "success" and get(["[1]"])["status"] == "failed" and get([ValueError("down")])["error"] == "down"
+    empty = extract.extract_chunks(df.withColumn("content", F.lit(None).cast("string")), lambda: models.Scripted([])).first()
+    assert empty["status"] == "success" and tuple(empty["stats"]) == (0, 0, 0, 0)
+    with pytest.raises(ValueError, match="mode must be"):
+        extract.ExtractOptions("other")
+
+
 def test_embedding_cache(spark, rows):
     df = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "encoded string").coalesce(1)
     got = embed.embed_missing(df, None, lambda: models.Scripted([[[1.0, 0.0], [0.0, 1.0]]]), "m", "v1", 2)
@@ -126,13 +192,17 @@ def test_files(spark, rows, tmp_path):
     assert rows(readers.page_markdown(spark, str(docs)), "book", "page", "text") == [("m", 2, "text")]
 
 
-@pytest.mark.parametrize("content, what", [(None, "not found"), (b"\xff\xfe", "UTF-8"), (b"{", "valid JSON"), (b"[]", "an object"), (b'{"triples": {}}', "must be a list"), (b'{"entities": [{"name": ""}]}', r"entities\[0\].name"), (b'{"triples": [1]}', r"triples\[0\] must be an object")])
-def test_payload_errors(tmp_path, content, what):
+@pytest.mark.parametrize("content, what", [
+    (None, "not found"), (b"\xff\xfe", "UTF-8"), (b"{", "valid JSON"), (b"[]", "JSON object"), (b'{"triples": {}}', "must be a list"), (b"{}", "missing required field: triples"), (b'{"entities": [{"name": ""}], "triples": []}', r"entities\[0\].name must not be empty"),
+    (b'{"triples": [1]}', r"triples\[0\] must be an object"), (b'{"entities": [{"name": "a", "type": "thing"}], "triples": []}', "invalid type"), (b'{"triples": [{"head": "a", "head_type": "concept", "relation": "eats", "tail": "b", "tail_type": "concept"}]}', "invalid relation"),
+    (b'{"triples": [{"head": 1}]}', "must be a string"), (b'{"triples": [{"head": "a", "head_type": "concept", "relation": "contains", "tail": "b", "tail_type": "concept", "evidences": [1]}]}', r"evidences\[0\] must be a string"),
+])
+def test_payload_errors(spark, tmp_path, content, what):
     p = tmp_path / "g.json"
     if content is not None:
         p.write_bytes(content)
     with pytest.raises(readers.PayloadError, match=what):
-        readers.check_payload(str(p), "gold")
+        readers.check_payload(spark, str(p), "gold")
 
 
 def test_graph_import_is_idempotent(spark, rows, tmp_path):
@@ -146,22 +216,63 @@ def test_graph_import_is_idempotent(spark, rows, tmp_path):
     assert not (tmp_path / "g").exists()
 
 
-def test_reports(spark, tmp_path):
-    s = spark.createDataFrame([("a|b", 0.5)], "scope string, f1 double")
-    sinks.score_report(s, s.limit(0), None, "Report", str(tmp_path / "r"), "2026-01-01T00:00:00Z")
-    assert "a\\|b | 0.5000" in Path(tmp_path / "r.md").read_text() and json.loads(Path(tmp_path / "r.json").read_text())["scores"][0]["f1"] == 0.5
-    sinks.graph_json(s, s.limit(0), str(tmp_path / "g.json"))
-    assert json.loads(Path(tmp_path / "g.json").read_text()) == {"entities": [{"scope": "a|b", "f1": 0.5}], "triples": []}
+def test_tables_survive_a_crash_of_the_upsert(spark, rows, tmp_path):
+    n = spark.createDataFrame([("Concept", "a", 1)], "label string, name string, frequency long")
+    path = str(tmp_path / "t")
+    sinks.upsert(spark, n, path, ["name"])
+    (tmp_path / "t").rename(tmp_path / "t.old")  # between the two moves
+    sinks.upsert(spark, n.withColumn("name", F.lit("b")), path, ["name"])
+    assert rows(spark.read.parquet(path), "name") == [("a",), ("b",)] and not (tmp_path / "t.old").exists()
+
+
+def test_reports():
+    assert reports.code("a|b") == "`a\\|b`" and reports.code("x``y\n") == "``` x``y  ```"
+    assert reports.table(["a", "b"], [["x", 0.5], [None, 2]], 1) == "| a | b |\n| --- | ---: |\n| x | 0.5000 |\n|  | 2 |"
+    c = reports.comparison({"metrics": {"triple": {"f1": 0.25}}}, {"metrics": {"triple": {"f1": 0.5}, "attribute_accuracy": {"relation": {"accuracy": 1.0}}}}, "now")
+    assert c["comparison"]["triple"]["delta_f1"] == 0.25 and "| Triple | F1 | 0.2500 | 0.5000 | +0.2500 |" in reports.comparison_markdown(c)
+
+
+def test_files_of_any_file_system(spark, tmp_path):
+    path = f"file://{tmp_path}/a/b.txt"
+    files.write_text(spark, path, "文")
+    files.write_text(spark, path, "x" * 10)
+    assert files.read_bytes(spark, path) == b"x" * 10 and files.names(spark, f"{tmp_path}/a")[-1] == "b.txt"
+    with pytest.raises(FileNotFoundError):
+        files.read_bytes(spark, f"{tmp_path}/none")
+    with pytest.raises(RuntimeError), files.Writer(spark, f"{tmp_path}/a/c.txt") as f:
+        f.write("half")
+        raise RuntimeError
+    assert not files.exists(spark, f"{tmp_path}/a/c.txt")
 
 
 def test_ocr_markdown(spark):
     p = spark.createDataFrame(
-        [(2, "b", "i", 2, None, "t2", None, "m", "failed", "late"), (1, "b", "i", 1, "one", "t1", 0.5, None, "success", None)],
-        "page_id long, book string, image_path string, page_number int, text string, processed_at string, confidence double, model string, status string, error string",
+        [(2, "b", "i", 2, None, "t2", None, "m", "failed", "late", 1.0, None), (1, "b", "i", 1, "one", "t1", 0.5, None, "success", None, 2.346, 9)],
+        "page_id long, book string, image_path string, page_number int, text string, processed_at string, confidence double, model string, status string, error string, duration_seconds double, total_tokens int",
     )
     md = sinks.ocr_markdown(p).first()["markdown"]
-    assert "success: 1\nfailed: 1\nmodel: m\nprocessed_at: t2" in md and md.index("## Page 1") < md.index("## Page 2") and "*failed: late*" in md
-    assert D.clean(md)[1][1]["Image"] == "i"
+    assert "successful_pages: 1\nfailed_pages: 1\nocr_model: m\nprocessed_at: t2" in md and md.index("## Page 1") < md.index("## Page 2") and "**Error:** late" in md and "_No text extracted._" in md
+    pages = D.clean(md)[1]
+    assert pages[1] == {"Image": "i", "Processed": "t1", "Duration": "2.35s", "Confidence": "0.50", "Total Tokens": "9"} and pages[2]["Status"] == "failed"
+    assert D.page_body(sinks.ocr_markdown(p.where("page_id = 1")).first()["markdown"]) == "one"
+
+
+def test_cached_pages(spark, rows, tmp_path):
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b/b_page_1.md").write_text("---\nsource: b\n---\n## Page 1\n\n**Image:** `i`  \n\nbody\n---\nmore")
+    (tmp_path / "b/b_page_2.md").write_text(" \n")
+    got = readers.cached_pages(spark, str(tmp_path))
+    assert rows(got, "book", "page", "text", "status") == [("b", 1, "body\nmore", "success")]
+
+
+def test_small_columns(spark):
+    one = spark.range(1)
+    get = lambda c: one.select(c.alias("x")).first()["x"]
+    from kiteloom.functions import text as X
+
+    assert get(X.folder_name(F.lit(" a/b\\c "))) == "a_b_c" and get(X.folder_name(F.lit(" "))) == "document"
+    assert get(X.data_url(F.lit(b"\xff" * 90), F.lit("a.JPG"))).startswith("data:image/jpeg;base64,////") and get(X.media_type(F.lit("a"))) == "image/png"
+    assert get(X.parsed_evidences(F.lit('["a", "b"]'))) == ["a", "b"] and get(X.parsed_evidences(F.lit("plain"))) == ["plain"] and get(X.parsed_evidences(F.lit(None).cast("string"))) == []
 
 
 def test_rendering(spark, rows):
@@ -177,14 +288,39 @@ def test_rendering(spark, rows):
     images = got.where("image is not null").select("path", "image")
     assert rows(render.read_pages(images, lambda: models.Scripted(["text"])), "text") == [("text",)]
     assert render.read_pages(images, lambda: models.Scripted([]), images.withColumn("status", F.lit("success"))).count() == 0
-    assert render.slides_to_pdf("x", "y", program="no-such-program")[0] == "failed"
+    assert render.page_name("a", 7) == "a_page_0007.png" and render.zoom(144) == 2.0
+
+
+def test_slides(spark, rows, tmp_path):
+    done = lambda code, out=None: lambda *a, **k: (out and (tmp_path / out).write_bytes(b"pdf"), type("R", (), {"returncode": code, "stderr": b"bad", "stdout": b""})())[1]
+    assert render.slides_to_pdf("x.ppt", str(tmp_path), "no-such-program")[0] == "failed"
+    assert render.slides_to_pdf("x.ppt", str(tmp_path), run=done(0)) == ("failed", "libreoffice left no x.pdf")
+    assert render.slides_to_pdf("x.ppt", str(tmp_path), run=done(2))[1] == "exit code 2: bad"
+    assert render.slides_to_pdf("x.ppt", str(tmp_path), run=done(0, "x.pdf")) == ("success", None)
+
+    class One:
+        def pages(self, document, scale):
+            yield 1, document
+
+    def convert(source, folder):
+        import pathlib
+
+        pathlib.Path(folder, pathlib.Path(source).stem + ".pdf").write_bytes(b"made")
+        return "success", None
+
+    d = spark.createDataFrame([("/a/p.pptx", "slides", bytearray(b"s")), ("/a/q.pdf", "pdf", bytearray(b"q")), ("/a/r.txt", "other", bytearray(b"r"))], "path string, kind string, content binary")
+    got = render.render(d, One, convert=convert)
+    assert rows(got, "name", "image", "status") == [("p/p_page_0001.png", bytearray(b"made"), "success"), ("q/q_page_0001.png", bytearray(b"q"), "success"), (None, None, "failed")]
+    assert rows(render.run_summary(got), "path", "status", "pages") == [("/a/p.pptx", "success", 1), ("/a/q.pdf", "success", 1), ("/a/r.txt", "failed", 0)]
 
 
 def test_streams(spark, rows, tmp_path):
     schema = "entity_id long, file_stem string, ord long, name string, type string, description string, frequency long"
-    for k in range(2):
+    for k in range(5):
         spark.createDataFrame([(k, "f", k, "TCP", "protocol", f"d{k}", 2)], schema).write.mode("append").parquet(str(tmp_path / "in"))
-        incremental.stream_entities(spark, spark.readStream.schema(schema).parquet(str(tmp_path / "in")), str(tmp_path / "state"), str(tmp_path / "cp")).awaitTermination(60)
-    assert rows(incremental.latest_state(spark, str(tmp_path / "state")), "name", "description", "frequency") == [("TCP", "d0", 4)]
+        incremental.stream_entities(spark, spark.readStream.schema(schema).parquet(str(tmp_path / "in")), str(tmp_path / "state"), str(tmp_path / "cp"), every=2).awaitTermination(60)
+    assert rows(incremental.latest_state(spark, str(tmp_path / "state")), "name", "description", "frequency") == [("TCP", "d0", 10)]
+    assert files.names(spark, str(tmp_path / "state")) == ["b000000004", "m000000003"]
+    assert incremental.latest_state(spark, str(tmp_path / "none")).count() == 0
     events = spark.createDataFrame([(1, "error"), (2, "view")], "i int, event_type string").withColumn("ts", F.lit("2026-01-01 00:00:30").cast("timestamp_ntz"))
     assert [(r["requests"], r["errors"]) for r in incremental.request_rates(events).collect()] == [(2, 1)]
