@@ -1,10 +1,12 @@
 """Most similar vectors for every vector: NN-descent through Spark joins, and greedy search on the graph it builds.
 
 Exact copies are collapsed to one vertex first. A first graph comes from random-projection trees whose cuts are fitted on a
-bounded sample but which every vector passes; then, in rounds, each vertex receives the vectors of its neighbours and of
-the vertices it is a neighbour of, compares them with one another and passes on what improves a vertex's list. Vertices
-that are neighbours of very many are met in buckets, each with the vertex's own neighbours, so no task holds an unbounded
-group and no link is left out. Vectors travel once a link and round; similarities never leave numpy or the JVM.
+bounded sample but which every vector passes; a leaf that holds more than its share is cut further into pieces along one more
+random projection, so the pieces in which all are compared with all are of one size however many vectors there are. Then, in
+rounds, each vertex receives the vectors of its neighbours and of the vertices it is a neighbour of, compares them with one
+another and passes on what improves a vertex's list. Vertices that are neighbours of very many are met in buckets, each with
+the vertex's own neighbours, and a list's best are ranked, not gathered, so no task holds an unbounded group and no link is
+left out. Vectors travel once a link and round; similarities never leave numpy or the JVM.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import Scratch
@@ -95,13 +98,37 @@ def _groups(parts: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataF
         yield rest
 
 
+def _pieces(parts: Iterator[pd.DataFrame], keys: list[str], most: int) -> Iterator[pd.DataFrame]:
+    """Rows sorted by the keys as frames of one group each, of less than two times ``most`` rows; what is held is one piece."""
+    rest = None
+    for pdf in parts:
+        pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+        if not len(pdf):
+            continue
+        key = pdf[keys].to_numpy()
+        starts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1), len(pdf)]
+        for a, b in zip(starts, starts[1:]):
+            while b - a >= 2 * most:
+                yield pdf.iloc[a : a + most]
+                a += most
+            if b == len(pdf):
+                rest = pdf.iloc[a:b]
+            elif b > a:
+                yield pdf.iloc[a:b]
+    if rest is not None and len(rest):
+        yield rest
+
+
 def _top(links: DataFrame, k: int) -> DataFrame:
-    """``u, nbrs``: the k best links ``u, v, sim, fresh`` of a vertex, each neighbour once, as (v, sim, fresh)."""
-    ordered = links.groupBy("u").agg(F.array_sort(F.collect_list(F.struct((-F.col("sim")).alias("d"), "v", "fresh"))).alias("a"))
-    # of one neighbour what is known comes before what is fresh, so it is not met again
-    once = F.filter("a", lambda x, i: ~F.exists(F.slice("a", 1, i), lambda y: y["v"] == x["v"]))
-    best = F.transform(F.slice(once, 1, k), lambda x: F.struct(x["v"].alias("v"), (-x["d"]).alias("sim"), x["fresh"].alias("fresh")))
-    return ordered.select("u", best.alias("nbrs"))
+    """``u, nbrs``: the k best links ``u, v, sim, fresh`` of a vertex, each neighbour once, as (v, sim, fresh).
+
+    Links are ranked by (similarity, neighbour), so a link met several times has one rank, and those beyond the k-th are dropped before
+    and after the shuffle; only k neighbours of a vertex are ever listed. What is known comes before what is fresh.
+    """
+    w = W.partitionBy("u").orderBy(F.desc("sim"), "v")
+    best = links.withColumn("r", F.dense_rank().over(w)).where(F.col("r") <= k).groupBy("u", "v").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
+    listed = F.array_sort(F.collect_list(F.struct((-F.col("sim")).alias("d"), "v", "fresh")))
+    return best.groupBy("u").agg(F.transform(F.slice(listed, 1, k), lambda x: F.struct(x["v"].alias("v"), (-x["d"]).alias("sim"), x["fresh"].alias("fresh"))).alias("nbrs"))
 
 
 _LINK = "u bigint, v bigint, sim float, fresh boolean"
@@ -120,42 +147,47 @@ def _best(u: np.ndarray, v: np.ndarray, sim: np.ndarray, k: int) -> pd.DataFrame
     return pd.DataFrame({"u": u, "v": v, "sim": sim, "fresh": np.ones(len(u), bool)})
 
 
-def build_graph(vertices: DataFrame, scratch: Scratch, dim: int, k: int = 10, trees: int = 4, leaf: int = 250, rounds: int = 3, bucket: int = 32, enough: float = 0.002, seed: int = 5) -> tuple[DataFrame, Trees]:
+def build_graph(vertices: DataFrame, scratch: Scratch, dim: int, k: int = 16, trees: int = 4, leaf: int = 250, rounds: int = 6, bucket: int = 32, enough: float = 0.002, seed: int = 5) -> tuple[DataFrame, Trees]:
     """``u, nbrs``: of each vertex (``u BIGINT, vec BINARY``, unit float32) about the k most similar others; and the trees."""
     spark = vertices.sparkSession
     n = vertices.count()
-    share = min(1.0, 1.2 * SAMPLE / max(1, n))
-    sample = [r["vec"] for r in vertices.sample(share, seed).limit(SAMPLE).select("vec").collect()]
+    # by a hash of the vertex, so every part of the table is in it alike; its size is SAMPLE on average, and cut to it
+    chance = F.pmod(F.xxhash64("u", F.lit(seed)), F.lit(1 << 40)) < int((1 << 40) * min(1.0, SAMPLE / max(1, n)))
+    sample = [r["vec"] for r in vertices.where(chance).select("vec").collect()][:SAMPLE]
     m = np.frombuffer(b"".join(sample), dtype=np.float32).reshape(-1, dim) if sample else np.zeros((0, dim), np.float32)
     # a node of the tree keeps at least 8 sample vectors, so that its cut means something
     forest = spark.sparkContext.broadcast(Trees(m, min(-(-n // leaf), max(1, len(m) // 8)), trees, seed))
-    crowd = max(leaf, -(-n // max(1, 1 << forest.value.depth)))
+    along = np.random.default_rng(seed + 1).standard_normal((trees, dim)).astype(np.float32)
 
     def place(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in parts:
-            at = forest.value.leaf(_vectors(pdf["vec"], dim))
+            x = _vectors(pdf["vec"], dim)
+            at = forest.value.leaf(x)
             for t in range(at.shape[1]):
-                yield pd.DataFrame({"tree": t, "leaf": at[:, t], "u": pdf["u"], "vec": pdf["vec"]})
+                yield pd.DataFrame({"tree": t, "leaf": at[:, t], "along": x @ along[t], "u": pdf["u"], "vec": pdf["vec"]})
 
     def inside(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in _groups(parts, ["tree", "leaf", "part"]):
-            for _, g in pdf.groupby(["tree", "leaf", "part"], sort=False):
-                x, ids = _vectors(g["vec"], dim), g["u"].to_numpy()
-                for a in range(0, len(x), 512):
-                    s = x[a : a + 512] @ x.T
-                    s[np.arange(len(s)), np.arange(a, a + len(s))] = -2
-                    w = min(k, len(x) - 1)
-                    if w:
-                        at = np.argpartition(-s, w - 1, axis=1)[:, :w]
-                        yield _best(np.repeat(ids[a : a + len(s)], w), ids[at].ravel(), np.take_along_axis(s, at, 1).ravel(), k)
-
-    placed = vertices.mapInPandas(place, "tree int, leaf bigint, u bigint, vec binary")
-    # a leaf that is far more crowded than the sample told is met in parts
-    size = placed.groupBy("tree", "leaf").count().where(F.col("count") > 4 * crowd)
-    parted = placed.join(F.broadcast(size), ["tree", "leaf"], "left") if n > 4 * crowd else placed.withColumn("count", F.lit(None).cast("bigint"))
-    parts = F.greatest(F.lit(1), F.ceil(F.coalesce("count", F.lit(1)) / (2 * crowd)))
-    parted = parted.withColumn("part", F.pmod(F.xxhash64("u"), parts)).drop("count")
-    first = parted.repartition("tree", "leaf", "part").sortWithinPartitions("tree", "leaf", "part").mapInPandas(inside, _LINK)
+        for g in _pieces(parts, ["tree", "leaf", "part"], leaf):
+            x, ids = _vectors(g["vec"], dim), g["u"].to_numpy()
+            s = x @ x.T
+            np.fill_diagonal(s, -2)
+            w = min(k, len(x) - 1)
+            if w > 0:
+                at = np.argpartition(-s, w - 1, axis=1)[:, :w]
+                yield _best(np.repeat(ids, w), ids[at].ravel(), np.take_along_axis(s, at, 1).ravel(), k)
+
+    placed = vertices.mapInPandas(place, "tree int, leaf bigint, along float, u bigint, vec binary")
+    if n > 2 * leaf << forest.value.depth:
+        # the sample allows no more leaves: crowded ones are dealt to parts along the projection, by where a normal
+        # distribution of the leaf's mean and spread has its quantiles; pieces are cut to size in any case
+        shape = placed.groupBy("tree", "leaf").agg(F.count("*").alias("c"), F.avg("along").alias("m"), F.stddev_pop("along").alias("d"))
+        z = (F.col("along") - F.col("m")) / F.greatest(F.col("d"), F.lit(1e-9))
+        parts = F.ceil(F.col("c") / (4 * leaf))
+        part = F.floor(parts / (1 + F.exp(-1.702 * z))).cast("int")
+        parted = placed.join(F.broadcast(shape), ["tree", "leaf"]).withColumn("part", part).drop("c", "m", "d")  # a row a leaf, 10,000 at most
+    else:
+        parted = placed.withColumn("part", F.lit(0))
+    first = parted.repartition("tree", "leaf", "part").sortWithinPartitions("tree", "leaf", "part", "along").select("tree", "leaf", "part", "u", "vec").mapInPandas(inside, _LINK)
     graph = scratch.cut(_top(first, k))
 
     def meet(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -204,7 +236,7 @@ def build_graph(vertices: DataFrame, scratch: Scratch, dim: int, k: int = 10, tr
 class Collection:
     """Vectors with their copies collapsed: ``vertices`` (u, vec), ``members`` (u, node_id) and the graph over vertices."""
 
-    def __init__(self, nodes: DataFrame, row_id: str = "node_id", embedding: str = "embedding", dim: int = 64, k: int = 10, **graph):
+    def __init__(self, nodes: DataFrame, row_id: str = "node_id", embedding: str = "embedding", dim: int = 64, k: int = 16, **graph):
         self.spark, self.dim, self.k = nodes.sparkSession, dim, k
         self.scratch = Scratch(self.spark, "neighbors")
 
@@ -226,8 +258,6 @@ class Collection:
     def pairs(self, least: float, top: int = 5) -> DataFrame:
         """``node_a, node_b, cosine``, node_a < node_b: pairs of at least this cosine of which one is among the other's
         ``top`` most similar nodes (equal cosines: smaller node_id first). Cosines are computed again in double precision."""
-        from pyspark.sql import Window as W
-
         links = self.graph.select("u", F.explode("nbrs").alias("x")).select("u", F.col("x.v").alias("v"), F.col("x.sim").alias("sim")).where(F.col("sim") >= least - 1e-3)
         vec_u, vec_v = self.vertices.select("u", F.col("vec").alias("a")), self.vertices.select(F.col("u").alias("v"), F.col("vec").alias("b"))
         dim = self.dim
@@ -257,15 +287,14 @@ def similar_pairs(nodes: DataFrame, least: float = 0.9, top: int = 5, **options)
     return Collection(nodes, **options).pairs(least, top)
 
 
-def search(collection: Collection, queries: DataFrame, k: int = 5, beam: int = 128, width: int = 16, hops: int = 12, trees: int = 4) -> DataFrame:
+def search(collection: Collection, queries: DataFrame, k: int = 5, beam: int = 128, width: int = 16, entries: int = 64, trees: int = 4) -> DataFrame:
     """``node_id, neighbor, cosine, rank``: of each query (``node_id`` of a usable row) about its k most similar other nodes.
 
-    Greedy search on the graph: a query starts at the best vertices of its leaf in some of the trees, then, hop by hop, the ``width``
-    best vertices of its beam that are not yet expanded show their neighbours, until none is left or ``hops`` are over. All
-    queries move at once, as joins with the graph and the vectors; each hop's state is a table in the shared folder.
+    Greedy search on the graph: a query starts at the best of ``entries`` vertices, taken by a hash, of its leaf in each of the
+    trees, however many the leaf holds; then, hop by hop, the ``width`` best vertices of its beam that are not yet expanded
+    show their neighbours, until none is left. All queries move at once, as joins with the graph and the vectors; each hop's
+    state is a table in the shared folder.
     """
-    from pyspark.sql import Window as W
-
     scratch, dim = collection.scratch, collection.dim
     vertices, graph, members = collection.vertices, collection.graph, collection.members
     spark = vertices.sparkSession
@@ -286,12 +315,13 @@ def search(collection: Collection, queries: DataFrame, k: int = 5, beam: int = 1
 
     wanted = scratch.cut(asked.select("q").distinct().join(vertices.withColumnRenamed("u", "q"), "q"))
     placed = "tree int, leaf bigint, v bigint, vec binary"
-    there = vertices.withColumnRenamed("u", "v").mapInPandas(place, placed).withColumnRenamed("vec", "b")
+    some = W.partitionBy("tree", "leaf").orderBy(F.xxhash64("v"), "v")
+    there = vertices.withColumnRenamed("u", "v").mapInPandas(place, placed).withColumn("r", F.row_number().over(some)).where(F.col("r") <= entries).drop("r").withColumnRenamed("vec", "b")
     here = wanted.withColumnRenamed("q", "v").mapInPandas(place, placed).select("tree", "leaf", F.col("v").alias("q"), F.col("vec").alias("a"))
     first = here.join(there, ["tree", "leaf"]).where("q != v").mapInPandas(far, "q bigint, v bigint, d double").distinct()
     ranked = first.withColumn("r", F.row_number().over(W.partitionBy("q").orderBy("d", "v"))).where(F.col("r") <= width)
     state = scratch.cut(wanted.select("q").join(ranked, "q", "left").groupBy("q").agg(F.array_sort(F.collect_list(F.when(F.col("v").isNotNull(), F.struct("d", "v", F.lit(False).alias("seen"))))).cast(pool).alias("pool")))
-    for _ in range(hops):
+    while True:
         chosen = state.select("q", "pool", F.slice(F.filter("pool", lambda x: ~x["seen"]), 1, width).alias("next"))
         steps = chosen.select("q", F.explode("next.v").alias("u")).join(graph, "u").select("q", F.explode("nbrs.v").alias("v")).distinct()
         fresh = steps.join(chosen.select("q", F.transform("pool", lambda x: x["v"]).alias("have")), "q").where(~F.array_contains("have", F.col("v"))).select("q", "v")
@@ -309,3 +339,37 @@ def search(collection: Collection, queries: DataFrame, k: int = 5, beam: int = 1
     best = near.join(few, "u").groupBy("q").agg(F.slice(F.array_sort(F.collect_list(F.struct("d", "node_id"))), 1, k + 1).alias("best"))
     each = asked.join(best, "q").select("node_id", F.posexplode(F.slice(F.filter("best", lambda x: x["node_id"] != F.col("node_id")), 1, k)).alias("i", "x"))
     return each.select("node_id", F.col("x.node_id").alias("neighbor"), F.round(-F.col("x.d"), 6).alias("cosine"), (F.col("i") + 1).cast("bigint").alias("rank"))
+
+
+def nearest_exact(collection: Collection, queries: DataFrame, k: int = 5, block: int = 2000) -> DataFrame:
+    """``node_id, neighbor, cosine, rank``: of each query its k most similar other nodes, by comparing it with every vector; to
+    measure what the graph misses. Queries are compared in blocks that are broadcast, a scan of the vectors each."""
+    dim, members, vertices = collection.dim, collection.members, collection.vertices
+    spark = vertices.sparkSession
+    asked = queries.select("node_id").distinct().join(members, "node_id").join(vertices, "u").select("node_id", "u", "vec")
+    blocks = max(1, -(-asked.count() // block))
+    found = None
+    for b in range(blocks):
+        rows = asked.where(F.pmod(F.xxhash64("node_id"), F.lit(blocks)) == b).collect()  # block queries on average
+        if not rows:
+            continue
+        shared = spark.sparkContext.broadcast((np.array([r["node_id"] for r in rows]), np.frombuffer(b"".join(r["vec"] for r in rows), np.float32).reshape(-1, dim).astype(np.float64)))
+
+        def compare(parts: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+            ids, q = shared.value
+            for pdf in parts:
+                if not len(pdf):
+                    continue
+                s = np.round(q @ _vectors(pdf["vec"], dim).astype(np.float64).T, 9)
+                w = min(k + 1, s.shape[1])
+                at = np.argpartition(-s, w - 1, axis=1)[:, :w]
+                yield pd.DataFrame({"q": np.repeat(ids, w), "u": pdf["u"].to_numpy()[at].ravel(), "c": np.take_along_axis(s, at, 1).ravel()})
+
+        part = vertices.mapInPandas(compare, "q bigint, u bigint, c double")
+        found = part if found is None else found.union(part)
+    if found is None:
+        return spark.createDataFrame([], "node_id bigint, neighbor bigint, cosine double, rank bigint")
+    few = members.withColumn("r", F.row_number().over(W.partitionBy("u").orderBy("node_id"))).where(F.col("r") <= k + 1).drop("r")
+    near = found.withColumn("r", F.dense_rank().over(W.partitionBy("q").orderBy(F.desc("c"), "u"))).where(F.col("r") <= k + 1).drop("r").join(few, "u").where("node_id != q")
+    best = near.withColumn("rank", F.row_number().over(W.partitionBy("q").orderBy(F.desc("c"), "node_id")).cast("bigint")).where(F.col("rank") <= k)
+    return best.select(F.col("q").alias("node_id"), F.col("node_id").alias("neighbor"), F.round("c", 6).alias("cosine"), "rank")

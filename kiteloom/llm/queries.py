@@ -12,13 +12,13 @@ from . import abuse, canonical, components, disguise, leakage, markup, neighbors
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
-    return neighbors.similar_pairs(table(spark, sf, "entity_vectors")).select("node_a", "node_b")
+    return neighbors.similar_pairs(table(spark, sf, "entity_vectors"), k=10, rounds=3).select("node_a", "node_b")
 
 
 def p1_search(spark: SparkSession, sf: str) -> DataFrame:
     """The five most similar nodes of every node whose id is divisible by 50, by greedy search on the graph of all."""
     nodes = table(spark, sf, "entity_vectors")
-    return neighbors.search(neighbors.Collection(nodes, k=16, rounds=6), nodes.where("node_id % 50 = 0"))
+    return neighbors.search(neighbors.Collection(nodes), nodes.where("node_id % 50 = 0"))
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
