@@ -1,10 +1,11 @@
 """Visually identical text with different characters, brought to one form by a compiled longest-match transducer.
 
-The mapping is computed once from Unicode data and a short list of look-alike letters, checked for conflicts, and
-compiled to one pattern of alternatives, longest first, over grapheme clusters (a base with its marks is one cluster).
-One pass rewrites widths, compatibility ideographs and radicals, decomposed accents, invisible characters, spaces and
-hyphens; letters that only look Latin are resolved in the same pass by the word they stand in: a word wholly of another
-script, and Greek letters standing alone as symbols, are left as they are.
+The mapping is computed once from Unicode data and a short list of look-alike letters, checked for conflicts, and compiled to
+a transducer whose states are grapheme clusters: from a base it goes on over every mark, and over characters that do not show,
+as long as they make a longer cluster, and only then writes what the whole cluster stands for. One pass from left to right rewrites
+widths, compatibility ideographs and radicals, decomposed accents, invisible characters, spaces and hyphens; letters that
+only look Latin are resolved as the pass leaves the word they stand in: a word wholly of another script, and Greek letters
+standing alone as symbols, are left as they are. Stretches in which no character can begin a change are copied.
 Case, typos, ordinary spaces and quotes, composed accents and traditional Chinese are never touched.
 """
 
@@ -38,9 +39,6 @@ HYPHENS = "‐‑‒⁃−﹘﹣－"
 #: Characters without a picture that are no format characters by category.
 BLANKS = "͏ᅟᅠ឴឵ㅤﾠ"
 
-_MARKS = ("Mn", "Mc", "Me")
-
-
 def _invisible(ch: str) -> bool:
     cp = ord(ch)
     return ud.category(ch) == "Cf" or ch in BLANKS or 0xFE00 <= cp <= 0xFE0F or 0xE0100 <= cp <= 0xE01EF or 0x180B <= cp <= 0x180F
@@ -86,56 +84,140 @@ def mapping() -> dict[str, str]:
     for src, to in table.items():
         if any(c in table for c in to):
             raise ValueError(f"{src!r} maps to {to!r}, which is mapped again")
+    for src, to in LOOKALIKES.items():
+        if src in table or to in table or to in LOOKALIKES or len(to) != 1:
+            raise ValueError(f"look-alike {src!r} to {to!r} is mapped in another way too")
     return table
 
 
-@functools.lru_cache(1)
-def _compiled() -> tuple[re.Pattern, re.Pattern, dict[str, str]]:
-    table = mapping()
-    single = [k for k in table if len(k) == 1]
-    bases = {k[0] for k in table if len(k) > 1}
-    marks = {c for k in table if len(k) > 1 for c in k[1:]}
-    def cls(chars: set[str] | list[str]) -> str:
-        cps, out = sorted(map(ord, chars)), []
-        for cp in cps:
-            if out and cp == out[-1][1] + 1:
-                out[-1][1] = cp
+def _class(chars: set[str]) -> str:
+    """A character class of a pattern, neighbours as ranges."""
+    out: list[list[int]] = []
+    for cp in sorted(map(ord, chars)):
+        if out and cp == out[-1][1] + 1:
+            out[-1][1] = cp
+        else:
+            out.append([cp, cp])
+    return "[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out) + "]"
+
+
+def _in_word(ch: str) -> bool:
+    """Letters, but ideographs and Hangul, which stand for themselves."""
+    return ch.isalnum() and not ch.isdecimal() and not ("⺀" <= ch <= "鿿" or "가" <= ch <= "힣" or "豈" <= ch <= "﫿")
+
+
+class Transducer:
+    """``write``: target of a source character. ``step``: from a cluster (by what it stands for so far) and a mark to the longer
+    cluster. ``begins`` finds characters that can begin a change."""
+
+    def __init__(self) -> None:
+        table = mapping()
+        self.write = {k: v for k, v in table.items() if len(k) == 1}
+        self.step: dict[tuple[str, str], str] = {}
+        for k, v in table.items():
+            if len(k) > 1:  # the longest part before the last mark is a cluster of its own
+                self.step[ud.normalize("NFC", k[:-1]), k[-1]] = v
+        self.bases = {a for a, _ in self.step}
+        self.order = {m: ud.combining(m) for _, m in self.step}
+        # a Latin letter may be the strange one in a word of a script that has look-alikes
+        scripts = {_script(c) for c in LOOKALIKES} - {"LATIN"}
+        theirs = {c for c in map(chr, range(0x370, 0x590)) if _in_word(c) and _script(c) in scripts}
+        self.begins = re.compile(_class({*self.write, *LOOKALIKES, *self.order, *theirs}))
+
+    def rewrite(self, text: str) -> str:
+        out: list[str] = []
+        at = 0
+        while m := self.begins.search(text, at):
+            start = m.start()
+            while start > at and _in_word(text[start - 1]):  # its word, and the base of a mark
+                start -= 1
+            out.append(text[at:start])
+            at = self._run(text, start, out)
+        out.append(text[at:])
+        return "".join(out)
+
+    def longest(self, base: str, marks: str) -> tuple[str, str]:
+        """The longest cluster that a base and its marks make, and the marks left over. Marks are taken in canonical order; one
+        reaches the base only over marks of a lower class."""
+        if base not in self.bases:
+            return base, marks
+        left = ""
+        for m in sorted(marks, key=lambda c: self.order.get(c, 0)):
+            free = not left or self.order.get(left[-1], 255) < self.order[m]
+            if free and (longer := self.step.get((base, m))) is not None:
+                base = longer
             else:
-                out.append([cp, cp])
-        return "[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in out) + "]"
-    wide = "".join(chr(c) for c in range(0xFF21, 0xFF3B)) + "".join(chr(c) for c in range(0xFF41, 0xFF5B))
-    # invisible characters may stand between a base and its marks
-    hidden = cls([k for k in single if table[k] == ""])
-    cluster = f"{cls(bases | set(wide))}{hidden}*{cls(marks)}(?:{hidden}*{cls(marks)})*"
-    word = r"[^\W\d_⺀-鿿가-힣豈-﫿]+"
-    return re.compile(f"{cluster}|{cls(single)}"), re.compile(word), table
+                left += m
+        return base, left
+
+    def _run(self, text: str, i: int, out: list[str]) -> int:
+        """Writes on from position i to where no change can go on; that position."""
+        word: list[tuple[str, str]] = []
+        base, marks = "", ""
 
+        def end_word() -> None:
+            letters = "".join(x for x, _ in word)
+            for (x, left), y in zip(word, _resolved(letters)):
+                out.extend((y, left) if x == y else self.longest(y, left))
+            word.clear()
 
-def _cluster(m: re.Match) -> str:
-    text, table = m.group(), _compiled()[2]
-    if len(text) == 1:
-        return table[text]
-    flat = "".join(table.get(c, c) for c in text)
-    return ud.normalize("NFC", flat)
+        def leave() -> None:
+            """The cluster is whole."""
+            nonlocal base, marks
+            whole, left = self.longest(base, marks)
+            if base and _in_word(base):
+                word.append((whole, left))
+            else:
+                end_word()
+                out.append(whole + left)
+            base, marks = "", ""
+
+        while i < len(text):
+            c = text[i]
+            to = self.write.get(c)
+            if to == "":
+                pass  # shows nothing; the cluster may go on after it
+            elif base and c in self.order:
+                marks += c
+            elif to is None and not _in_word(c) and c not in self.order:
+                break
+            else:
+                if base:
+                    leave()
+                for x in (to or c)[:-1]:
+                    base = x
+                    leave()
+                base = (to or c)[-1]
+            i += 1
+        leave()
+        end_word()
+        return i
+
+
+@functools.lru_cache(1)
+def _transducer() -> Transducer:
+    return Transducer()
 
 
 def _script(ch: str) -> str:
     return ud.name(ch, "?").split(" ")[0]
 
 
-def _word(m: re.Match) -> str:
-    word = m.group()
+def _resolved(word: str) -> str:
+    """A word with the letters that only look like those of its script replaced."""
     if word.isascii():
         return word
-    scripts = {_script(c) for c in word if not ud.category(c).startswith("M")}
+    scripts = {_script(c) for c in word if c.isalpha()}
     if len(scripts) < 2:
-        odd = all(c in LOOKALIKES and _script(c) == "LATIN" for c in word)
-        return "".join(LOOKALIKES[c] for c in word) if odd else word
+        odd = all(c in LOOKALIKES and _script(c) == "LATIN" for c in word if c.isalpha())
+        return "".join(LOOKALIKES.get(c, c) for c in word) if odd else word
     flat = "".join(LOOKALIKES.get(c, c) for c in word)
-    if all(_script(c) == "LATIN" for c in flat):
+    if all(_script(c) == "LATIN" for c in flat if c.isalpha()):
         return flat
     # a word of another script with strange letters: follow the script most of its letters belong to
     main = max(sorted(scripts), key=lambda s: sum(_script(c) == s for c in word))
+    if main == "LATIN":
+        return flat
     back = {v: k for k, v in LOOKALIKES.items() if _script(k) == main}
     return "".join(back.get(LOOKALIKES.get(c, c), c) if _script(c) != main else c for c in word)
 
@@ -144,8 +226,7 @@ def consistent(text: str | None) -> str | None:
     """The one form of a text; null stays null. Texts that look the same come out equal; applying it again changes nothing."""
     if text is None or text.isascii():
         return text
-    clusters, words, _ = _compiled()
-    return words.sub(_word, clusters.sub(_cluster, text))
+    return _transducer().rewrite(text)
 
 
 @F.pandas_udf(StringType())

@@ -21,8 +21,15 @@ def p1_search(spark: SparkSession, sf: str) -> DataFrame:
     return neighbors.search(neighbors.Collection(nodes), nodes.where("node_id % 50 = 0"))
 
 
+#: How these courses write names: words that carry no meaning, and that a name without its kind stands for a protocol.
+COURSES = canonical.Usage(
+    fillers=frozenset("a an the of for in called scheme method approach technique algorithm mechanism".split()),
+    before=("所谓", "所谓的", "一种", "该"), after=("等", "技术", "方案", "方式", "方法", "算法", "机制", "见下文", "见上文", "如下", "策略"), inside="的式", last_word="protocol",
+)
+
+
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
-    return canonical.to_canonical(table(spark, sf, "entities_raw"), table(spark, sf, "canonical_entities")).select("entity_id", "canon_id")
+    return canonical.to_canonical(table(spark, sf, "entities_raw"), table(spark, sf, "canonical_entities"), usage=COURSES).select("entity_id", "canon_id")
 
 
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:

@@ -186,7 +186,8 @@ def reference(spark):
 def test_to_canonical(spark, name, want):
     ref = reference(spark)
     ids = {r["name_en"]: r["canon_id"] for r in ref.collect()}
-    got = canonical.to_canonical(spark.createDataFrame([(1, name)], "entity_id long, name string"), ref).collect()
+    usage = canonical.Usage(frozenset({"the", "for", "method"}), ("所谓",), ("技术",), "的", "protocol")
+    got = canonical.to_canonical(spark.createDataFrame([(1, name)], "entity_id long, name string"), ref, usage=usage).collect()
     if want is None:  # equal to a form
         assert got == []
     else:
@@ -201,6 +202,39 @@ def test_to_canonical_edges(spark):
     assert canonical.to_canonical(df.limit(0), ref).count() == 0
 
 
+CITIES = [(1, None, "Berlin", "BER"), (2, None, "New York", "NYC"), (3, None, "San Francisco Bay Area", None), (4, None, "Selective Window Mechanism", None), (5, "上海", "Shanghai", None), (6, None, "São Paulo", None), (7, None, "Rio de Janeiro", None), (8, None, "Software Engineer", None), (9, None, "Senior Data Engineer", None), (10, None, "Data Engineer", None)]
+
+
+@pytest.mark.parametrize(
+    "name, want",
+    [
+        ("Berlni", 1), ("BERLIN", 1), ("New Yrok", 2), ("newyork", 2), ("Nwe York", 2), ("York, New", 2), ("N.Y.C.", 2), ("San Fransisco Bay Area", 3), ("bay area of san francisco", 3), ("Selective Windw Mechanism", 4), ("上海", None), ("Sao Paulo", 6), ("Ｓão　Ｐaulo", 6), ("Rio de Janiero", 7),
+        ("Sofware Enginere", 8), ("Senior Software Engineer", 0), ("data engineer", 10), ("senoir data engineer", 9), ("engineer", 0), ("Munich", 0), ("Bern", 0), ("York", 0),
+    ],
+)
+def test_any_list_of_names(spark, name, want):
+    """Cities and job titles: entries of one word to four, no language's usage but one word left out."""
+    ref = spark.createDataFrame(CITIES, "canon_id long, name_zh string, name_en string, abbr string")
+    got = canonical.to_canonical(spark.createDataFrame([(1, name)], "entity_id long, name string"), ref, usage=canonical.Usage(frozenset({"of"}))).collect()
+    assert [r["canon_id"] for r in got] == ([] if want is None else [want])
+
+
+def test_whole_forms_in_a_join(spark, rows):
+    ref = spark.createDataFrame(CITIES, "canon_id long, name_zh string, name_en string, abbr string")
+    names = ["Berlni", "Berlin", "new york", "SAN FRANCISCO BAY AREA", "Sao Paulo", "sofware enginere", "上诲", None, " ", "nothing like it", "σ", "x" * 30_000]
+    df = spark.createDataFrame(list(enumerate(names)) + [(2, "new york")], "entity_id long, name string").withColumn("form", F.lit("clash"))
+    want = [(0, 1), (2, 2), (2, 2), (3, 3), (4, 6), (5, 8), (6, 0), (9, 0), (10, 0), (11, 0)]
+    assert rows(canonical.to_canonical_joined(df, ref), "entity_id", "canon_id") == sorted(want, key=repr)
+    assert {r["canon_id"] for r in canonical.to_canonical_joined(df, ref.limit(0)).collect()} == {0} and canonical.to_canonical_joined(df.limit(0), ref).count() == 0
+
+
+def test_longer_lists_are_refused_with_the_other_way(spark, monkeypatch):
+    monkeypatch.setattr(canonical, "MAX_ENTRIES", 3)
+    ref = spark.createDataFrame(CITIES, "canon_id long, name_zh string, name_en string, abbr string")
+    with pytest.raises(ValueError, match="to_canonical_joined"):
+        canonical.to_canonical(spark.createDataFrame([(1, "x")], "entity_id long, name string"), ref)
+
+
 def test_distance_weights():
     assert canonical.distance("ab", "ba") < canonical.distance("ab", "abb") < canonical.distance("abc", "ab") < canonical.distance("ab", "ac")
     assert canonical.distance("", "abc") == pytest.approx(2.7) and canonical.distance("same", "same") == 0
@@ -248,7 +282,7 @@ def test_greedy_search_against_brute_force(spark):
     m = clouds(1200, 16, 4).astype(np.float32)
     m[50:60] = m[49]
     df = spark.createDataFrame([(i, m[i].tolist()) for i in range(len(m))] + [(9000, None)], "node_id long, embedding array<float>")
-    c = neighbors.Collection(df, dim=16, leaf=60)
+    c = neighbors.Collection(df, dim=16, k=10, leaf=60)
     got = neighbors.search(c, df.where("node_id % 50 = 0"), k=5).toPandas()
     u = m.astype(float) / np.linalg.norm(m.astype(float), axis=1, keepdims=True)
     hit = 0

@@ -16,6 +16,7 @@ from kiteloom.llm import abuse, boost, disguise, leakage, markup, scans
     [
         ("Ｐｅｒｉｏｄｉｃ", "Periodic"), ("Tоken", "Token"), ("PЕТА", "PETA"), ("a\u200bb", "ab"), ("a\u00a0b", "a b"), ("a\u3000b", "a b"), ("nai\u0308ve", "naïve"), ("Ｏ\u0308svar", "Ösvar"), ("⼝", "口"), ("\uf9a8", "令"), ("x‑y", "x-y"),
         ("Протокол окна", "Протокол окна"), ("σ 参数", "σ 参数"), ("Θ界", "Θ界"), ("naïve", "naïve"), ("預測", "預測"), ("“quote”", "“quote”"), ("Oчередь", "Очередь"), ("x²", "x²"), ("", ""), (None, None), ("plain", "plain"), ("Protoϲol", "Protocol"), ("Naїve", "Naïve"),
+        ("о̂х​̣y", "ôxỵ".replace("ỵ", "y").replace("x", "x̣")), ("ṇ̂", "ṇ̂"), ("ﬁ̀", "fì"), ("x①о y", "x①o y"), ("́a", "́a"), ("Eβ", disguise.consistent("Εβ")), ("é" * 20_000 + "а", "é" * 20_000 + "a"),
     ],
 )
 def test_consistent(text, want):
@@ -29,6 +30,17 @@ def test_consistent_is_idempotent(text):
     assert disguise.consistent(once) == once
 
 
+def test_longest_cluster():
+    t = disguise.Transducer()
+    assert t.longest("a", "̂́") == ("ấ", "") and t.longest("q", "̂") == ("q", "̂") and t.longest("a", "̣́́") == ("ạ", "́́")
+
+
+def test_look_alikes_must_not_conflict(monkeypatch):
+    monkeypatch.setitem(disguise.LOOKALIKES, "х", "о")  # maps to another look-alike
+    with pytest.raises(ValueError, match="look-alike"):
+        disguise.mapping.__wrapped__()
+
+
 def test_mapping_has_no_chains():
     table = disguise.mapping()
     assert all(c not in table for to in table.values() for c in to)
