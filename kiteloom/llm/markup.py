@@ -1,15 +1,20 @@
 """Markup residue: which kinds of markup a text holds, and the text without it but with its structure.
 
-HTML, Markdown, wiki and LaTeX are read into one stream of nodes, each with its path of tags from the root. Per path,
-text length and punctuation are summed, smoothed over neighbouring paths and fused to one tag-path ratio; paths under
-the threshold (figures, info boxes, navigation, comments) hold no content and go, unless the path itself is structure
-(headings, lists, tables, code, formulas). The clean form writes headings as ``# ``, items as ``- ``, cells between
-`` | ``, code between fences and formulas between dollars, whatever markup they came from.
+HTML, Markdown, wiki and LaTeX are read into one stream of nodes, each with its path of tags from the root; lines of HTML are cut
+at the tags of blocks, so a path is that of the tree even where all of it stands in one line. Per path, text length and
+punctuation are summed, smoothed over neighbouring paths and fused to one tag-path ratio, which weighs less what a tag of
+its path says is furniture (navigation, footers, advertisements, links alone). Ratios decide on every path that goes through an
+HTML container; text and structure outside of them (headings, lists, tables, code, formulas) is content. The clean form
+writes headings as ``# ``, items as ``- ``, cells between `` | ``, code between fences and formulas between dollars, whatever
+markup they came from. Runs of any length are read: what opens is looked for to the end of its paragraph, and no further than the
+next of its kind that opens, so reading stays linear.
 """
 
 from __future__ import annotations
 
+import functools
 import html
+import math
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
@@ -43,27 +48,29 @@ _CODE = re.compile(
     r"|(?P<pre><pre\b[^>]*>.*?</pre\s*>)"
     r"|(?P<htmlcode><code\b[^>]*>.*?</code\s*>)"
     r"|(?P<verb>\\begin\{(?P<env>verbatim|lstlisting|minted)\*?\}.*?\\end\{(?P=env)\*?\})"
-    r"|(?P<tick1>(?<![`\\])`(?!`)(?:[^`\n]|\n(?!\s*\n)){1,400}`(?!`))",
+    r"|(?P<tick1>(?<![`\\])`(?!`)(?:[^`\n]|\n(?!\s*\n))+`(?!`))",
     re.M | re.S | re.I,
 )
 _CODE_KIND = {"fence": "markdown", "tick1": "markdown", "pre": "html", "htmlcode": "html", "verb": "latex"}
-_MATH_DOLLAR = r"\$(?![\s$\d])(?:[^$\n]){0,200}?(?<![\s$])\$(?!\d)|\$(?=\d+[^$\n]{0,100}?[\\^_=])(?:[^$\n一-鿿]){1,100}?(?<![\s$])\$(?!\d)"
 _IN = r"(?:[^\n]|\n(?!\s*\n))"
+_MATH_DOLLAR = r"\$(?![\s$\d])[^$\n]*?(?<![\s$])\$(?!\d)|\$(?=\d+[^$\n]*?[\\^_=])[^$\n一-鿿]+?(?<![\s$])\$(?!\d)"
+_DISPLAY = rf"\\\[(?:(?!\\\[){_IN})+?\\\]"
+_ROUND = rf"\\\((?:(?!\\\(){_IN})+?\\\)"
+_DOLLARS = rf"\$\$(?:(?!\$\$){_IN})+\$\$"
 _FIND = {
-    "html": re.compile(rf"(?i:{_TAG})|<!--(?!\s*(?:page|第)?\s*\d+\s*(?:页)?\s*-->)(?:[^-]|-(?!->))*-->", re.I),
+    "html": re.compile(rf"(?i:{_TAG})|<!--(?!\s*(?:page|第)?\s*\d+\s*(?:页)?\s*-->)(?:[^-<]|-(?!->)|<(?!!--))*-->", re.I),
     "latex": re.compile(
-        r"\\(?:begin|end)\{[A-Za-z]+\*?\}|\\[A-Za-z]+\*?(?:\[[^\]\n]{0,100}\])?\{|"
-        rf"(?<![A-Za-z:\\])\\(?:{'|'.join(_BARE)})(?![A-Za-z\\])|\\\[{_IN}{{1,400}}?\\\]|\\\({_IN}{{1,400}}?\\\)|(?<!\\)\$\$.{{1,2000}}?\$\$|(?<=[\w\s])\\[%&#_$](?![\w]*\\)|{_MATH_DOLLAR}",
-        re.S,
+        r"\\(?:begin|end)\{[A-Za-z]+\*?\}|\\[A-Za-z]+\*?(?:\[[^\]\n]*\])?\{|"
+        rf"(?<![A-Za-z:\\])\\(?:{'|'.join(_BARE)})(?![A-Za-z\\])|{_DISPLAY}|{_ROUND}|(?<!\\){_DOLLARS}|(?<=[\w\s])\\[%&#_$](?![\w]*\\)|{_MATH_DOLLAR}",
     ),
     "wiki": re.compile(
-        rf"'''?(?=[^\s']){_IN}{{1,400}}?'''?|\[\[[^\[\]\n]{{1,300}}\]\]|\{{\{{[^{{}}\n]{{1,300}}\}}\}}|^[ \t]*(={{2,6}})[ \t]*[^=\n]{{1,200}}[ \t]*\1[ \t]*$|^[ \t]*\{{\|.*$|^[ \t]*\|\}}[ \t]*$|^[ \t]*\|-[ \t]*$",
+        rf"'''?(?=[^\s']){_IN}+?'''?|\[\[[^\[\]\n]+\]\]|\{{\{{[^{{}}\n]+\}}\}}|^[ \t]*(={{2,6}})[ \t]*[^=\n]+[ \t]*\1[ \t]*$|^[ \t]*\{{\|.*$|^[ \t]*\|\}}[ \t]*$|^[ \t]*\|-[ \t]*$",
         re.M,
     ),
     "markdown": re.compile(
         r"^[ \t]{0,3}#{1,6}[ \t]+\S|"
-        rf"(?<![\\*])(\*{{1,3}})(?=[^\s*])(?:[^*\n]|\n(?!\s*\n)){{1,400}}?(?<=[^\s*])\1(?!\*)|(?<!_)__(?=[^\s_]){_IN}{{1,400}}?(?<=[^\s_])__(?!_)|(?<![A-Za-z0-9_])_(?=[^\s_])(?:[^_\n]|\n(?!\s*\n)){{1,400}}?(?<=[^\s_])_(?![A-Za-z0-9_])|"
-        rf"~~(?=[^\s~]){_IN}{{1,400}}?~~|!?\[(?:[^\[\]\n]|\n(?!\s*\n)){{0,300}}\]\([^()\s]{{1,300}}(?:\s+\"[^\"\n]*\")?\)|\[\^[\w-]{{1,20}}\]|"
+        rf"(?<![\\*])(\*{{1,3}})(?=[^\s*])(?:[^*\n]|\n(?!\s*\n))+?(?<=[^\s*])\1(?!\*)|(?<!_)__(?=[^\s_])(?:(?!__){_IN})+?(?<=[^\s_])__(?!_)|(?<![A-Za-z0-9_])_(?=[^\s_])(?:[^_\n]|\n(?!\s*\n))+?(?<=[^\s_])_(?![A-Za-z0-9_])|"
+        rf"~~(?=[^\s~])(?:(?!~~){_IN})+?~~|!?\[(?:[^\[\]\n]|\n(?!\s*\n))*\]\([^()\s]+(?:\s+\"[^\"\n]*\")?\)|\[\^[\w-]+\]|"
         r"^[ \t]*\|?[ \t]*:?-{3,}:?[ \t]*(?:\|[ \t]*:?-{3,}:?[ \t]*)+\|?[ \t]*$",
         re.M,
     ),
@@ -105,7 +112,7 @@ def _marked_lines(lines: list[str]) -> Iterator[int]:
             yield i
 
 
-_ELSEWHERE = re.compile(r"\\[A-Za-z]+\*|\\\[.{0,400}?\\\]|\\\(.{0,400}?\\\)|\$\$.{0,2000}?\$\$|^[ \t]*\{\|.*?^[ \t]*\|\}|\[\[[^\]\n]*\]\]|\{\{[^}\n]*\}\}", re.S | re.M)
+_ELSEWHERE = re.compile(rf"\\[A-Za-z]+\*|{_DISPLAY}|{_ROUND}|{_DOLLARS}|^[ \t]*\{{\|(?:(?!^[ \t]*\{{\|)(?s:.))*?^[ \t]*\|\}}|\[\[[^\]\n]*\]\]|\{{\{{[^{{}}\n]*\}}\}}", re.M)
 
 
 def _marks(bare: str, blocks: list[tuple[str, str]]) -> list[tuple[int, str]]:
@@ -134,20 +141,24 @@ def _marks(bare: str, blocks: list[tuple[str, str]]) -> list[tuple[int, str]]:
     return sorted(out)
 
 
+@functools.lru_cache(64)
+def _closed(text: str) -> dict[int, int]:
+    """Of each brace that opens a group the position after the one that closes it."""
+    out, held = {}, []
+    for m in re.finditer(r"(?<!\\)[{}]", text):
+        if m.group() == "{":
+            held.append(m.start())
+        elif held:
+            out[held.pop()] = m.end()
+    return out
+
+
 def _braced(text: str, at: int) -> int:
-    """The position after the group that opens at ``at``; the end of the text if it never closes."""
-    depth = 0
-    for i in range(at, min(len(text), at + 2000)):
-        if text[i] == "{" and text[i - 1 : i] != "\\":
-            depth += 1
-        elif text[i] == "}" and text[i - 1 : i] != "\\":
-            depth -= 1
-            if not depth:
-                return i + 1
-    return at + 1
+    """The position after the group that opens at ``at``; the next one if it never closes."""
+    return _closed(text).get(at, at + 1)
 
 
-_COMMAND = re.compile(r"~?\\([A-Za-z]+)\*?(?:\[[^\]\n]{0,100}\])?(?=\{)")
+_COMMAND = re.compile(r"~?\\([A-Za-z]+)\*?(?:\[[^\]\n]*\])?(?=\{)")
 
 
 def _latex_inline(s: str) -> str:
@@ -162,7 +173,7 @@ def _latex_inline(s: str) -> str:
     return re.sub(r"\\([%&#_$])", r"\1", "".join(out))
 
 
-_MATH = re.compile(rf"\\\[(.{{1,400}}?)\\\]|\\\((.{{1,400}}?)\\\)|\$\$(.{{1,2000}}?)\$\$|({_MATH_DOLLAR})", re.S)
+_MATH = re.compile(rf"({_DISPLAY})|({_ROUND})|({_DOLLARS})|({_MATH_DOLLAR})")
 
 
 def _inline(s: str) -> str:
@@ -170,24 +181,25 @@ def _inline(s: str) -> str:
     kept: list[str] = []
 
     def math(m: re.Match) -> str:
-        kept.append(f"${next(g for g in m.groups() if g).strip().strip('$').strip()}$")
+        body = m.group()[2:-2] if m.lastindex < 4 else m.group()
+        kept.append(f"${body.strip().strip('$').strip()}$")
         return f"\x01{len(kept) - 1}\x01"
 
     s = _MATH.sub(math, s)
     s = re.sub(rf"(?i){_PAGE}", lambda m: m.group().replace("<!--", "\x02").replace("-->", "\x03"), s)
-    s = re.sub(r"<!--(?:[^-]|-(?!->))*-->", "", s)
+    s = re.sub(r"<!--(?:[^-<]|-(?!->)|<(?!!--))*-->", "", s)
     s = re.sub(r"(?i)<br\s*/?>", "\n", s)
     s = re.sub(rf"(?i){_TAG}", "", s)
     s = re.sub(r"\[\[(?:File|Image|文件|图像):[^\]\n]*\]\]|\{\{[^{}\n]*\}\}", lambda m: m.group()[2:-2].split("|")[1] if m.group().startswith("{{term|") else "", s)
     s = re.sub(r"\[\[(?:[^\]|\n]*\|)?([^\]|\n]*)\]\]", r"\1", s)
     s = re.sub(r"!\[([^\]\n]*)\]\([^()\s]*(?:\s+\"[^\"\n]*\")?\)", r"\1", s)
     s = re.sub(r"\[([^\[\]\n]*)\]\([^()\s]+(?:\s+\"[^\"\n]*\")?\)", r"\1", s)
-    s = re.sub(r"\[\^[\w-]{1,20}\]", "", s)
-    s = re.sub(r"'''?(?=[^\s'])(.{1,400}?)'''?", r"\1", s)
-    s = re.sub(r"(?<![\\*])(\*{1,3})(?=[^\s*])([^*\n]{1,400}?)(?<=[^\s*])\1(?!\*)", r"\2", s)
-    s = re.sub(r"(?<!_)__(?=[^\s_])(.{1,400}?)(?<=[^\s_])__(?!_)", r"\1", s)
-    s = re.sub(r"(?<![A-Za-z0-9_])_(?=[^\s_])([^_\n]{1,400}?)(?<=[^\s_])_(?![A-Za-z0-9_])", r"\1", s)
-    s = re.sub(r"~~(?=[^\s~])(.{1,400}?)~~", r"\1", s)
+    s = re.sub(r"\[\^[\w-]+\]", "", s)
+    s = re.sub(r"'''?(?=[^\s'])(.+?)'''?", r"\1", s)
+    s = re.sub(r"(?<![\\*])(\*{1,3})(?=[^\s*])([^*\n]+?)(?<=[^\s*])\1(?!\*)", r"\2", s)
+    s = re.sub(r"(?<!_)__(?=[^\s_])((?:(?!__).)+?)(?<=[^\s_])__(?!_)", r"\1", s)
+    s = re.sub(r"(?<![A-Za-z0-9_])_(?=[^\s_])([^_\n]+?)(?<=[^\s_])_(?![A-Za-z0-9_])", r"\1", s)
+    s = re.sub(r"~~(?=[^\s~])((?:(?!~~).)+?)~~", r"\1", s)
     s = _latex_inline(s)
     for _ in range(2):  # entities are sometimes escaped twice
         s = html.unescape(s)
@@ -195,6 +207,36 @@ def _inline(s: str) -> str:
     return re.sub(r"\x01(\d+)\x01", lambda m: kept[int(m.group(1))], s)
 
 
+_OVER_LINES = re.compile(rf"{_DISPLAY}|{_DOLLARS}|<!--(?:[^-<]|-(?!->)|<(?!!--))*-->")
+_EMPHASIS = re.compile(rf"(\*\*\*?|__|~~|''')(?=\S)((?:(?!\1){_IN})+?)(?<=\S)\1")
+#: Elements at which a line is cut, and those that hold others.
+_BLOCKS = "address article aside blockquote button center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header li main nav ol option p script section select style summary table textarea tr ul".split()
+_HOLD = frozenset("address article aside blockquote button center details div dl fieldset figure footer form header main nav ol script section select style table textarea ul".split())
+_BLOCK_TAG = re.compile(rf"<(/?)({'|'.join(_BLOCKS)})\b([^<>]*)>", re.I)
+#: Words in an element's class or id that say it is furniture.
+_FURNITURE = re.compile(r"(?:class|id)\s*=\s*[\"']?[^\"'>]*\b(?:ads?|advert\w*|banner|breadcrumbs?|cookies?|footer|menu|nav(?:bar|igation)?|popup|promo\w*|share|sidebar|social|sponsor\w*)\b", re.I)
+_LINKS = re.compile(r"<a\b[^<>]*>.*?</a\s*>", re.I | re.S)
+
+
+#: Elements that need not be closed, by the one they stand in.
+_INNER = {"ul": ("li",), "ol": ("li",), "dl": ("dt", "dd"), "table": ("tr",), "select": ("option",)}
+
+
+def _cut_at(text: str) -> frozenset[str]:
+    """The elements of a text at whose tags lines are cut: those that some tag closes, and what may stand in them unclosed. A stray
+    tag within a sentence cuts nothing."""
+    closed = {m.group(2).lower() for m in _BLOCK_TAG.finditer(text) if m.group(1)} if "</" in text else set()
+    return frozenset(closed.union(*(_INNER.get(c, ()) for c in closed)))
+
+
+def _segments(line: str, at: frozenset[str]) -> list[str]:
+    """A line cut before tags that open a block and after tags that close one."""
+    if not at or "<" not in line:
+        return [line]
+    cuts = sorted({0, len(line), *(m.end() if m.group(1) else m.start() for m in _BLOCK_TAG.finditer(line) if m.group(2).lower() in at)})
+    return [line[a:b] for a, b in zip(cuts, cuts[1:])] or [line]
+
+
 def nodes(text: str) -> list[tuple[tuple[str, ...], str, frozenset[str]]]:
     """Path of tags, text and kinds of the markup that begins there of every node, in order. Lines with markup that
     yield no other node are nodes without text, ``mark``."""
@@ -202,11 +244,22 @@ def nodes(text: str) -> list[tuple[tuple[str, ...], str, frozenset[str]]]:
     bare = bare.replace("\r\n", "\n")
     marks, at = _marks(bare, blocks), 0
     # formulas, comments and emphasis may run over line ends; lines are read one by one
-    bare = re.sub(r"\\\[.{1,400}?\\\]|\$\$.{1,2000}?\$\$|<!--(?:[^-]|-(?!->))*-->", lambda m: m.group().replace("\n", " "), bare, flags=re.S)
-    bare = re.sub(r"(\*\*\*?|__|~~|''')(?=\S)((?:[^\n]|\n(?!\s*\n)){1,400}?)(?<=\S)\1", lambda m: m.group().replace("\n", " "), bare)
+    bare = _OVER_LINES.sub(lambda m: m.group().replace("\n", " "), bare)
+    bare = _EMPHASIS.sub(lambda m: m.group().replace("\n", " "), bare)
     found: list[tuple[tuple[str, ...], str]] = []
     out: list[tuple[tuple[str, ...], str, frozenset[str]]] = []
-    stack: list[str] = []
+    stack: list[str] = []  # what the open elements are
+    names: list[str] = []  # and how they are written
+
+    def push(name: str, role: str | None = None) -> None:
+        names.append(name)
+        stack.append(role or name)
+
+    def pop(name: str) -> None:
+        """Up to the last element of that name, if one is open."""
+        if name in names:
+            k = len(names) - 1 - names[::-1].index(name)
+            del names[k:], stack[k:]
 
     def put(tags: tuple[str, ...], s: str) -> None:
         def code(m: re.Match) -> str:
@@ -229,8 +282,9 @@ def nodes(text: str) -> list[tuple[tuple[str, ...], str, frozenset[str]]]:
         found.clear()
 
     line_end = 0
-    for line in bare.split("\n"):
-        line_end += len(line) + 1
+    cut_at = _cut_at(bare)
+    for line, last in ((x, k == len(cut) - 1) for cut in (_segments(y, cut_at) for y in bare.split("\n")) for k, x in enumerate(cut)):
+        line_end += len(line) + last
         s = line.strip()
         if m := re.fullmatch(r"\x00(\d+)\x00", s):
             kind, raw = blocks[int(m.group(1))]
@@ -239,10 +293,14 @@ def nodes(text: str) -> list[tuple[tuple[str, ...], str, frozenset[str]]]:
             close(line_end)
             continue
         for m in re.finditer(r"\\begin\{(\w+)\*?\}", s):
-            stack.append({"itemize": "ul", "enumerate": "ol", "tabular": "table", "equation": "math", "align": "math"}.get(m.group(1), m.group(1)))
-        ends = len(re.findall(r"\\end\{\w+\*?\}", s))
+            push("\\" + m.group(1), {"itemize": "ul", "enumerate": "ol", "tabular": "table", "equation": "math", "align": "math"}.get(m.group(1), "env"))
+        ends = re.findall(r"\\end\{(\w+)\*?\}", s)
         s = re.sub(r"\\(?:begin|end)\{\w+\*?\}(?:\[[^\]]*\]|\{[^}]*\})?", "", s).strip()
-        opened = re.findall(r"(?i)<(/?)(ul|ol|table|blockquote|div|nav|header|footer|aside|article|section)\b[^>]*>", s)
+        tags = [(slash, name.lower(), rest) for slash, name, rest in _BLOCK_TAG.findall(s)] if "<" in s else []
+        for slash, name, rest in tags:
+            if not slash and name in _HOLD and name in cut_at:
+                push(name, "aside" if _FURNITURE.search(rest) else name)
+        link = ("a",) if "<a" in s and not re.sub(rf"(?i){_TAG}", "", _LINKS.sub("", s)).strip() else ()
         if m := re.match(r"#{1,6}[ \t]+", s):
             put((f"h{len(m.group().strip())}",), _inline(s[m.end() :].rstrip("# ")))
         elif m := re.fullmatch(r"(={2,6})[ \t]*([^=]+?)[ \t]*\1", s):
@@ -257,10 +315,9 @@ def nodes(text: str) -> list[tuple[tuple[str, ...], str, frozenset[str]]]:
         elif m := re.search(r"(?i)<h([1-6])\b[^>]*>(.*?)(?:</h\1>|$)", s):
             put((f"h{m.group(1)}",), _inline(m.group(2)))
         elif s.startswith("{|"):
-            stack.append("table")
+            push("{|", "table")
         elif s == "|}":
-            if "table" in stack:
-                stack.remove("table")
+            pop("{|")
         elif re.fullmatch(r"\|-+|\|?[ \t]*:?-{3,}:?[ \t]*(\|[ \t]*:?-{3,}:?[ \t]*)+\|?", s):
             pass
         elif s.startswith("|") and ("table" in stack or s.endswith("|") and s.count("|") > 1):
@@ -268,7 +325,7 @@ def nodes(text: str) -> list[tuple[tuple[str, ...], str, frozenset[str]]]:
         elif re.search(r"(?i)<t[dh]\b", s):
             put(("tr",) if "table" in stack else ("table", "tr"), " | ".join(_inline(c).strip() for c in _CELL.split(s)))
         elif re.search(r"(?i)<li\b", s) or s.startswith("\\item"):
-            put(("li",) if stack else ("ul", "li"), _inline(s.removeprefix("\\item")))
+            put(("li", *link) if {"ul", "ol"} & {*stack} else ("ul", "li", *link), _inline(s.removeprefix("\\item")))
         elif _ITEM.match(line):
             put(("ul", "li"), _inline(_ITEM.sub("", line)))
         elif re.fullmatch(r"\{\{[^{}]*\}\}|\[\[(?:File|Image|文件|图像):[^\]]*\]\]", s):
@@ -277,17 +334,15 @@ def nodes(text: str) -> list[tuple[tuple[str, ...], str, frozenset[str]]]:
             put(("math",), _inline(s))
         elif _QUOTE.match(line):
             put(("blockquote",), _inline(_QUOTE.sub("", line)))
-        elif opened and not re.sub(rf"(?i){_TAG}", "", s).strip():
+        elif tags and not re.sub(rf"(?i){_TAG}", "", s).strip():
             pass
-        else:
-            put(("p",) if s else ("gap",), _inline(s))
-        for slash, name in opened:
-            if not slash:
-                stack.append(name.lower())
-            elif name.lower() in stack:
-                stack.remove(name.lower())
-        for _ in range(min(ends, len(stack))):
-            stack.pop()
+        elif s or last:
+            put(("p", *link) if s else ("gap",), _inline(s))
+        for slash, name, _ in tags:
+            if slash:
+                pop(name)
+        for name in ends:
+            pop("\\" + name)
         close(line_end)
     return out
 
@@ -297,18 +352,29 @@ def kinds(text: str | None, seq: list | None = None) -> list[str]:
     content count as well: a comment or a figure is markup. seq: its nodes, if they are known."""
     if not text:
         return []
-    return sorted(frozenset().union(*(k for _, _, k in (nodes(text) if seq is None else seq))))
+    if seq is None:
+        bare, blocks = _hide_code(text)
+        if not blocks and not _marks(bare.replace("\r\n", "\n"), blocks):  # no node would have one
+            return []
+        seq = nodes(text)
+    return sorted(frozenset().union(*(k for _, _, k in seq)))
 
 
-_STRUCTURE = frozenset("h1 h2 h3 h4 h5 h6 li tr pre math".split())
+#: How much the ratio of a path weighs by what is on it: what a tag says is furniture weighs little.
+WEIGHTS = {"nav": 0.2, "footer": 0.2, "aside": 0.2, "form": 0.3, "select": 0.1, "button": 0.2, "a": 0.3, "header": 0.5}
+#: Elements that are never shown as text.
+_UNSEEN = frozenset(("script", "style", "figure"))
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_OUTSIDE = _HEADINGS | frozenset("p ul ol li table tr pre math blockquote env".split())
 
 
-def clean(text: str | None, threshold: float = 0.05, seq: list | None = None) -> str | None:
-    """The text without markup, its structure in one notation; null stays null. threshold is the least share of the best
-    path's ratio that a path of running text must reach to be content; seq: the text's nodes, if they are known."""
-    if text is None:
-        return None
-    seq = nodes(text) if seq is None else seq
+def content_paths(seq: list, threshold: float = 0.03, furniture: float = 4.0) -> set[tuple[str, ...]]:
+    """The paths of a text's nodes that hold content.
+
+    Ratio: text a node, weighed by punctuation (a sentence has some) and by the path's tags. A path through an HTML container
+    must reach ``threshold`` of the best path's, and, if one of its tags says it is furniture, ``furniture`` on its own; a heading in
+    such a container needs only not to be in furniture. Paths outside of containers are content.
+    """
     paths: dict[tuple[str, ...], list[float]] = {}
     for path, s, _ in seq:
         if path[-1] not in ("gap", "mark"):
@@ -317,13 +383,30 @@ def clean(text: str | None, threshold: float = 0.05, seq: list | None = None) ->
             x[1] += len(_PUNCT.findall(s))
             x[2] += 1
     order = list(paths)
-    ratio = [paths[p][0] / paths[p][2] for p in order]
-    mark = [paths[p][1] / paths[p][2] for p in order]
+
     def smooth(v: list[float]) -> list[float]:
         return [0.8 * v[i] + 0.1 * v[max(i - 1, 0)] + 0.1 * v[min(i + 1, len(v) - 1)] for i in range(len(v))]
-    fused = [a * (0.2 + b) for a, b in zip(smooth(ratio), smooth(mark))]
+
+    length = [paths[p][0] / paths[p][2] for p in order]
+    marks = [min(1.0, paths[p][1] / paths[p][2]) for p in order]
+    weight = [math.prod(WEIGHTS.get(t, 1.0) for t in p) for p in order]
+    fuse = lambda a, b: [x * (0.1 + y) * w for x, y, w in zip(a, b, weight)]
+    alone, fused = fuse(length, marks), fuse(smooth(length), smooth(marks))
     least = threshold * max(fused, default=0.0)
-    content = {p for p, f in zip(order, fused) if f >= least and p[-1] not in ("figure", "nav") or p[-1] in _STRUCTURE or p == ("p",)}
+    out = set()
+    for p, own, f, w in zip(order, alone, fused, weight):
+        if _UNSEEN.isdisjoint(p) and (_OUTSIDE.issuperset(p) or f >= least and (w == 1.0 or own >= furniture) or p[-1] in _HEADINGS and w >= 0.5):
+            out.add(p)
+    return out
+
+
+def clean(text: str | None, threshold: float = 0.03, seq: list | None = None) -> str | None:
+    """The text without markup, its structure in one notation; null stays null. threshold: see ``content_paths``; seq: the text's
+    nodes, if they are known."""
+    if text is None:
+        return None
+    seq = nodes(text) if seq is None else seq
+    content = content_paths(seq, threshold)
     out: list[str] = []
     for path, s, _ in seq:
         leaf = path[-1]
@@ -332,7 +415,7 @@ def clean(text: str | None, threshold: float = 0.05, seq: list | None = None) ->
         elif path in content and s:
             if leaf in ("h1", "h2", "h3", "h4", "h5", "h6"):
                 out.append(f"{'#' * int(leaf[1])} {s}")
-            elif leaf == "li":
+            elif "li" in path[-2:]:
                 out.append("  " * max(0, sum(t in ("ul", "ol") for t in path) - 1) + f"- {s}")
             elif leaf == "pre":
                 out.append(f"```\n{s}\n```")

@@ -88,6 +88,42 @@ def test_clean_keeps_structure():
     assert markup.clean("plain text, as it is.\n\nTwo.") == "plain text, as it is.\n\nTwo."
 
 
+PAGE = "Real text of the page, with commas. It goes on for a while, as text does."
+
+
+@pytest.mark.parametrize(
+    "text, want",
+    [
+        ("<nav>Home About Contact</nav>", ""), ("<footer>Copyright</footer>", ""), ("<div class='ad'>Buy now</div>", ""), ('<script>var a=1;</script>', ""), ("<style>p {a: b}</style>", ""), ('<ul class="menu"><li>Home</li><li>About</li></ul>', ""),
+        ("<ul><li><a href='/'>Home</a></li><li><a href='/a'>About</a></li></ul>", ""), ("<ul><li>one</li><li>two</li></ul>", "- one\n- two"), ("<ul>\n<li>one\n<li>two\n</ul>", "- one\n- two"), ("<div>Hello world</div>", "Hello world"),
+        (f"<div><p>{PAGE}</p><div id='ads'>Buy now!</div></div>", PAGE), (f"<header><h1>Title</h1><nav>a b</nav></header><p>{PAGE}</p>", f"# Title\n{PAGE}"), (f"{PAGE[:30]}<p>{PAGE[30:]}", PAGE), (f"<aside>{PAGE}</aside>", PAGE), ("<nav>Home", "Home"),
+        ("<table><tr><td>a</td><td>b</td></tr><tr><td>c</td><td>d</td></tr></table>", "a | b\nc | d"),
+    ],
+)
+def test_ratios_decide_in_containers(text, want):
+    assert markup.clean(text) == want and markup.kinds(text) == ["html"]
+
+
+def test_paths_are_those_of_the_tree():
+    seq = markup.nodes("<div><section><p>one</p></section><ul><li><a href='x'>two</a></li></ul></div>\nthree")
+    assert [(p, s) for p, s, _ in seq if s] == [(("div", "section", "p"), "one"), (("div", "ul", "li", "a"), "two"), (("p",), "three")]
+
+
+@pytest.mark.parametrize("text, kind", [("\\[" + "x+" * 3000 + "y\\]", "latex"), ("**" + "bold " * 2000 + "end**", "markdown"), ("$" + "x_1 + " * 2000 + "y$", "latex"), ("[[" + "w" * 5000 + "]]", "wiki"), ("{{" + "t" * 5000 + "}}", "wiki"), ("`" + "c " * 3000 + "d`", "markdown"), ("\\textbf{" + "t" * 9000 + "}", "latex"), ("[" + "t " * 2000 + "](" + "u" * 3000 + ")", "markdown")])
+def test_runs_of_any_length(text, kind):
+    assert kind in markup.kinds("a " + text + " b") and not set("\\*`{[").intersection(markup.clean("a " + text + " b"))
+
+
+@pytest.mark.parametrize("sign", ["\\[", "\\(", "$$", "**", "__", "''", "~~", "`", "[", "{{", "\\textbf{", "<div", "<!--", "$"])
+def test_what_never_closes_stays_linear(sign):
+    import time
+
+    began = time.perf_counter()
+    text = f"{sign}a " * 20_000
+    markup.kinds(text), markup.clean(text)
+    assert time.perf_counter() - began < 20
+
+
 def test_markup_of_long_and_repeated_texts(spark):
     long = "word *" * 100_000
     df = spark.createDataFrame([(1, long), (2, "<b>x"), (2, "<b>x"), (3, None)], "id long, t string").withColumn("kinds", F.lit(1))
