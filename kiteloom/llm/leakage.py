@@ -2,13 +2,16 @@
 
 The windows of the evaluation items are hashed as Karp-Rabin hashes run; a document meets an item where the two share a
 window (the seed). From the seeds the longest common runs are grown, and they are marked from the longest down so that
-they never overlap; the share of an item that its tiles cover also tells of passages in another order.
-Item windows are held in blocks of a bounded size and broadcast block by block, so any number of items can be searched;
-documents are read where they lie, and only documents with a shared window give rows.
+they never overlap: a run that a longer tile has cut comes back with what is left of it. The share of an item that its tiles
+cover also tells of passages in another order, and may be asked for (``coverage``).
+Items up to a bounded size are broadcast and documents read where they lie. Beyond it the seeds are joined: of either side the least
+hashes of neighbouring windows, at least one of which lies in every shared run; documents without a seed of any item are left
+where they are, and only pairs that share one are tiled.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 import unicodedata as ud
 from collections import defaultdict
@@ -20,10 +23,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import Scratch
+
 #: Least length of a shared run, in words for items in English and in letters and digits for Chinese ones.
 LEAST = {"en": 13, "zh": 25}
-#: Characters of item text in one broadcast block.
+#: Characters of item text that are broadcast.
 BLOCK_CHARS = 4_000_000
+#: Bits of the filter of seeds, where items are more.
+FILTER_BITS = 1 << 26
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _RUN = re.compile(r"[^\W_]+")
@@ -126,60 +133,141 @@ class Items:
                     matches[i].append((last - first + self.n, first, first - d))
                     first = p
                 last = p
-        out = {}
-        for i, found in matches.items():
-            in_doc, in_item = np.zeros(len(tokens), bool), np.zeros(len(self.tokens[i]), bool)
-            count = longest = 0
-            for length, p, q in sorted(found, key=lambda m: (-m[0], m[1], m[2])):
-                free = ~(in_doc[p : p + length] | in_item[q : q + length])
-                # what is left of a match that a longer tile has cut: its longest unmarked stretch
-                edges = np.flatnonzero(np.diff(np.concatenate(([0], free.view(np.int8), [0]))))
-                if not len(edges):
-                    continue
-                runs = edges.reshape(-1, 2)
-                a, b = runs[np.argmax(runs[:, 1] - runs[:, 0])]
-                if b - a < self.n:
-                    continue
-                in_doc[p + a : p + b] = in_item[q + a : q + b] = True
-                count, longest = count + 1, max(longest, int(b - a))
-            if count:
-                out[i] = (count, longest, int(in_item.sum()))
-        return out
+        return {i: self._tiled(found, len(tokens), len(self.tokens[i])) for i, found in matches.items()}
+
+    def _tiled(self, found: list[tuple[int, int, int]], n_doc: int, n_item: int) -> tuple[int, int, int]:
+        """(tiles, longest tile, item tokens covered) of matches (length, place in the document, place in the item)."""
+        in_doc, in_item = np.zeros(n_doc, bool), np.zeros(n_item, bool)
+        count = longest = 0
+        heap = [(-length, p, q) for length, p, q in found]
+        heapq.heapify(heap)
+        while heap:
+            size, p, q = heapq.heappop(heap)
+            free = ~(in_doc[p : p - size] | in_item[q : q - size])
+            if free.all():
+                in_doc[p : p - size] = in_item[q : q - size] = True
+                count, longest = count + 1, max(longest, -size)
+                continue
+            # a longer tile has cut it: what is left comes in its turn
+            edges = np.flatnonzero(np.diff(np.concatenate(([0], free.view(np.int8), [0]))))
+            for a, b in edges.reshape(-1, 2).tolist():
+                if b - a >= self.n:
+                    heapq.heappush(heap, (a - b, p + a, q + a))
+        return count, longest, int(in_item.sum())
 
 
 _OUT = "doc_id bigint, item_id bigint, tiles int, longest int, coverage double"
 
 
-def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, item_id, tiles, longest, coverage``: every document and item that share a run of the least length.
+def language(lang: str | None, text: str) -> str:
+    """en or zh as given, whatever its case; else by what most letters of the text are."""
+    said = (lang or "").strip().lower()
+    if said in LEAST:
+        return said
+    letters = [c for c in text if c.isalpha()]
+    return "zh" if 2 * sum("㐀" <= c <= "鿿" for c in letters) > len(letters) else "en"
+
+
+def seeds(tokens: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of windows a little shorter than n, the least of every few neighbours: two texts that share n tokens in a row
+    share one of them."""
+    k = max(1, n - 4)
+    h = running(tokens, k)
+    if len(h) < n - k + 1:
+        return np.zeros(0, dtype=np.int64)
+    mixed = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return np.unique(np.lib.stride_tricks.sliding_window_view(mixed, n - k + 1).min(axis=1)).view(np.int64)
+
+
+def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", coverage: float = 0.0) -> DataFrame:
+    """``doc_id, item_id, tiles, longest, coverage``: every document and item that share a run of the least length, of which
+    the document's tiles cover at least the share ``coverage``.
 
     coverage is the share of the item's tokens under tiles. Null and empty texts share nothing; repeated documents each
-    come out; items with a null text or a language other than en and zh take no part; two items that share a passage are
-    both reported. Texts are read whole.
+    come out; items with a null id or text take no part; an item of another language than en and zh, or of none, is read as the
+    one that most of its letters are of; two items that share a passage are both reported. Texts are read whole.
     """
-    spark = documents.sparkSession
-    base = items.where("item_id is not null and text is not null").select("item_id", "text", F.lower("lang").alias("lang")).where(F.col("lang").isin(*LEAST))
-    sized = base.withColumn("size", F.length("text").cast("bigint"))
-    total = sized.agg(F.sum("size")).collect()[0][0] or 0
-    blocks = max(1, -(-total // BLOCK_CHARS))
-    found = None
+    base = items.where("item_id is not null and text is not null").select(F.col("item_id").cast("bigint").alias("item_id"), "text", "lang")
+    total = base.agg(F.sum(F.length("text").cast("bigint"))).collect()[0][0] or 0
     docs = documents.where(F.col(text).isNotNull()).select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    for k in range(blocks):
-        rows = base.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).collect()  # BLOCK_CHARS characters on average
-        shared = spark.sparkContext.broadcast([(r["item_id"], r["text"], r["lang"]) for r in rows])
-
-        def search(parts: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            sets = [Items([(i, t) for i, t, l in shared.value if l == lang], lang) for lang in LEAST]
-            for pdf in parts:
-                out = []
-                for d, t in zip(pdf["doc_id"], pdf["text"]):
-                    flat = _flat(t)
-                    for s in sets:
-                        if s.tokens:
-                            for i, (n, longest, covered) in s.tiles(s.read(flat)).items():
-                                out.append((d, i, n, longest, covered / len(s.tokens[i])))
-                yield pd.DataFrame(out, columns=["doc_id", "item_id", "tiles", "longest", "coverage"])
-
-        part = docs.mapInPandas(search, _OUT)
-        found = part if found is None else found.union(part)
-    return found
+    found = _broadcast(docs, base) if total <= BLOCK_CHARS else _joined(docs, base)
+    return found.where(F.col("coverage") >= coverage)
+
+
+def _broadcast(docs: DataFrame, base: DataFrame) -> DataFrame:
+    rows = [(r["item_id"], r["text"], language(r["lang"], r["text"])) for r in base.collect()]  # BLOCK_CHARS characters at most
+    shared = docs.sparkSession.sparkContext.broadcast(rows)
+
+    def search(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sets = [Items([(i, t) for i, t, l in shared.value if l == lang], lang) for lang in LEAST]
+        for pdf in parts:
+            out = []
+            for d, t in zip(pdf["doc_id"], pdf["text"]):
+                flat = _flat(t)
+                for s in sets:
+                    if s.tokens:
+                        for i, (n, longest, covered) in s.tiles(s.read(flat)).items():
+                            out.append((d, i, n, longest, covered / len(s.tokens[i])))
+            yield pd.DataFrame(out, columns=["doc_id", "item_id", "tiles", "longest", "coverage"])
+
+    return docs.mapInPandas(search, _OUT)
+
+
+def _joined(docs: DataFrame, base: DataFrame) -> DataFrame:
+    """For items of any number: documents that hold a seed of some item are written out with their seeds, seeds are joined, and
+    each pair is tiled once."""
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "leakage")
+    reads = {"en": Stream.words, "zh": Stream.letters}
+
+    def item_seeds(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            out = []
+            for i, t, l in zip(pdf["item_id"], pdf["text"], pdf["lang"]):
+                lang = language(l, t)
+                out += [(lang, h, i) for h in seeds(reads[lang](_flat(t)), LEAST[lang]).tolist()]
+            yield pd.DataFrame(out, columns=["lang", "h", "item_id"])
+
+    asked = scratch.cut(base.mapInPandas(item_seeds, "lang string, h bigint, item_id bigint"))
+    # bits of all items' seeds, or-ed part by part: a filter of a fixed size that lets a few others through
+    bits = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
+
+    def fold(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
+        for pdf in parts:
+            at = pdf["h"].to_numpy().view(np.uint64) % np.uint64(FILTER_BITS)
+            np.bitwise_or.at(own, (at >> np.uint64(3)).astype(np.int64), (1 << (at & np.uint64(7))).astype(np.uint8))
+        yield pd.DataFrame({"bits": [own.tobytes()]})
+
+    for r in asked.select("h").coalesce(16).mapInPandas(fold, "bits binary").toLocalIterator():
+        bits |= np.frombuffer(r["bits"], dtype=np.uint8)
+    shared = spark.sparkContext.broadcast(bits)
+
+    def doc_seeds(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = shared.value
+        for pdf in parts:
+            out = []
+            for d, t in zip(pdf["doc_id"], pdf["text"]):
+                flat = _flat(t)
+                for lang, read in reads.items():
+                    h = seeds(read(flat), LEAST[lang])
+                    at = h.view(np.uint64) % np.uint64(FILTER_BITS)
+                    if len(h := h[(held[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]):
+                        out.append((d, t, lang, h.tolist()))
+            yield pd.DataFrame(out, columns=["doc_id", "text", "lang", "hs"])
+
+    hits = docs.mapInPandas(doc_seeds, "doc_id bigint, text string, lang string, hs array<bigint>")
+    hits = scratch.cut(hits.withColumn("uid", F.monotonically_increasing_id()))
+    pairs = hits.select("uid", "lang", F.explode("hs").alias("h")).join(asked, ["lang", "h"]).select("uid", "item_id").distinct()
+
+    def tile(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in parts:
+            out = []
+            for d, t, lang, i, x in zip(pdf["doc_id"], pdf["text"], pdf["lang"], pdf["item_id"], pdf["item"]):
+                one = Items([(i, x)], lang)
+                for _, (n, longest, covered) in one.tiles(one.read(_flat(t))).items():
+                    out.append((d, i, n, longest, covered / len(one.tokens[i])))
+            yield pd.DataFrame(out, columns=["doc_id", "item_id", "tiles", "longest", "coverage"])
+
+    both = pairs.join(hits.drop("hs"), "uid").join(base.select("item_id", F.col("text").alias("item")), "item_id")
+    return both.select("doc_id", "text", "lang", "item_id", "item").mapInPandas(tile, _OUT)

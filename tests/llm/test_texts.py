@@ -146,7 +146,9 @@ def shares(doc, item, lang):
     return any(tuple(b[i : i + n]) in runs for i in range(len(b) - n + 1))
 
 
-def test_leaks_against_brute_force(spark):
+@pytest.mark.parametrize("chars", [4_000_000, 10])
+def test_leaks_against_brute_force(spark, monkeypatch, chars):
+    monkeypatch.setattr(leakage, "BLOCK_CHARS", chars)
     rng = random.Random(5)
     vocab = [f"w{i}" for i in range(30)]
     items = [(i, " ".join(rng.choice(vocab) for _ in range(60)), "en") for i in range(6)] + [(10 + i, "".join(rng.choice("甲乙丙丁戊己庚辛") for _ in range(70)), "zh") for i in range(4)] + [(20, None, "en"), (21, "x", None), (22, "short", "en")]
@@ -169,12 +171,26 @@ def test_leaks_against_brute_force(spark):
     assert leakage.leaks(df, it.limit(0)).count() == 0 and leakage.leaks(df.limit(0), it).count() == 0
 
 
-def test_blocks_find_the_same(spark, monkeypatch):
-    items = spark.createDataFrame([(i, " ".join(f"t{i}x{k}" for k in range(40)), "en") for i in range(9)], "item_id long, text string, lang string")
-    docs = items.select(F.col("item_id").alias("doc_id"), "text")
-    one = sorted(map(tuple, leakage.leaks(docs, items).collect()))
-    monkeypatch.setattr(leakage, "BLOCK_CHARS", 300)
-    assert sorted(map(tuple, leakage.leaks(docs, items).collect())) == one and len(one) == 9
+def test_items_of_other_languages_are_read_by_their_letters(spark, rows):
+    words, letters = " ".join(f"w{i}" for i in range(20)), "甲乙丙丁戊己庚辛壬癸" * 3
+    items = spark.createDataFrame([(1, words, None), (2, letters, "ZH "), (3, letters, "?"), (None, words, "en")], "item_id long, text string, lang string")
+    docs = spark.createDataFrame([(1, f"x {words}"), (2, f"一{letters}二")], "doc_id long, text string")
+    assert rows(leakage.leaks(docs, items), "doc_id", "item_id") == [(1, 1), (2, 2), (2, 3)]
+
+
+def test_coverage_catches_passages_in_another_order(spark, rows):
+    a, b, c = ([f"{x}{i}" for i in range(15)] for x in "abc")
+    items = spark.createDataFrame([(1, " ".join(a + b + c), "en")], "item_id long, text string, lang string")
+    docs = spark.createDataFrame([(1, " ".join(c + ["x"] + a + ["y"] + b)), (2, " ".join(a))], "doc_id long, text string")
+    assert rows(leakage.leaks(docs, items, coverage=0.9), "doc_id", "tiles", "coverage") == [(1, 3, 1.0)] and leakage.leaks(docs, items).count() == 2
+
+
+def test_what_a_longer_tile_leaves_of_a_run_comes_in_its_turn():
+    item = [f"t{i}" for i in range(50)]
+    it = leakage.Items([(1, " ".join(item))], "en")
+    # the run of 34 takes the middle of the item, of the other run of 34 the first 16 are left, of a third all
+    doc = item[16:] + ["x"] + item[:34] + ["y"] + item[:13]
+    assert it.tiles(leakage.Stream.words(" ".join(doc))) == {1: (2, 34, 50)}
 
 
 def test_tiles_do_not_overlap_and_cover_reordered_passages():
