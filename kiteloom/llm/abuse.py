@@ -27,6 +27,8 @@ CATEGORIES = ("abusive", "hateful", "sexual")
 MAX_LABELLED = 12_000
 #: Sentences of ok documents that are fitted, at most.
 MAX_SENTENCES = 15_000
+#: Mean log ratio of a sentence's n-grams in documents of its category to those in others, below which it belongs to these.
+AWAY = -0.6
 BUCKETS = 1 << 18
 SIZES = (1, 2, 3, 4, 5)
 MAX_SENTENCE = 600
@@ -171,8 +173,8 @@ def train(labelled: list[tuple[str, int]], seed: int = 3) -> Model:
     """From (text, class) pairs.
 
     In each document with a label the sentence is chosen whose n-grams set labelled documents other than this one apart
-    from ok documents the most; a document without such a sentence is taken for a wrong label. Then, in turns, a model is
-    fitted and reads all sentences again: those of labelled documents that it finds are chosen, and those of ok documents
+    from ok documents the most, unless it belongs to another category; a document without such a sentence is taken for a wrong
+    label. Then, in turns, a model is fitted and reads all sentences again: those of labelled documents that it finds are chosen, and those of ok documents
     that it takes for something else come to the ``MAX_SENTENCES`` ok sentences that are fitted.
     """
     bad = [(ss, c) for t, c in labelled if c and (ss := sentences(t))]
@@ -183,11 +185,20 @@ def train(labelled: list[tuple[str, int]], seed: int = 3) -> Model:
     flat = [s for ss, _ in bad for s in ss]
     of = np.repeat(np.arange(len(bad)), [len(ss) for ss, _ in bad])
     cls = np.array([c for _, c in bad])[of]
-    others = np.maximum(_documents_with([ss for ss, _ in bad]) - 1, 0)  # a document does not support itself
+    with_ = {c: _documents_with([ss for ss, k in bad if k == c]) for c in set(cls.tolist())}
+    every = sum(with_.values())
+    others = np.maximum(every - 1, 0)  # a document does not support itself
     odds = np.log((others + 0.02) / len(bad)) - np.log((_documents_with(fine) + 0.5) / (len(fine) + 1))
     odds = np.where(others < 1, -1.0, np.clip(odds, -3, 3))
     ids, own = grams(flat)
-    score = np.bincount(own, weights=odds[ids], minlength=len(flat)) / np.maximum(np.bincount(own, minlength=len(flat)), 1)
+    size = np.maximum(np.bincount(own, minlength=len(flat)), 1)
+    score = np.bincount(own, weights=odds[ids], minlength=len(flat)) / size
+    # a sentence that is at home in documents of other categories does not carry this one, but is nothing ok either
+    for c, held in with_.items():
+        n = sum(k == c for _, k in bad)
+        lean = np.log((np.maximum(held - 1, 0) + 0.5) / n) - np.log((every - held + 0.5) / max(len(bad) - n, 1))
+        away = np.bincount(own, weights=lean[ids], minlength=len(flat)) / size < AWAY
+        score[(cls == c) & away & (score > 0)] = 0.0
     known = set(ok)
     score[[s in known for s in flat]] = -3
     best = np.full(len(bad), -9.0)
@@ -208,7 +219,7 @@ def train(labelled: list[tuple[str, int]], seed: int = 3) -> Model:
         p = model.sentence_probabilities(flat)
         voiced = p[np.arange(len(flat)), cls]
         chosen = (voiced > 0.5) & (score > -0.5) | chosen & (voiced > 0.2)
-        beside = ~chosen & (p[:, 0] > 0.7)
+        beside = ~chosen & (p[:, 0] > 0.7) & (score < 0)
         wrong = 1 - np.concatenate([model.sentence_probabilities(ok[k : k + 5000])[:, 0] for k in range(0, len(ok), 5000)]) if ok else np.zeros(0)
         most = np.argsort(-wrong, kind="stable")[: MAX_SENTENCES // 3]
         hard = list(dict.fromkeys(hard + [ok[i] for i in most if wrong[i] > 0.1]))[: MAX_SENTENCES // 2]

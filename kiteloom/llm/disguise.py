@@ -90,7 +90,7 @@ def mapping() -> dict[str, str]:
     return table
 
 
-def _class(chars: set[str]) -> str:
+def _class(chars: frozenset[str]) -> str:
     """A character class of a pattern, neighbours as ranges."""
     out: list[list[int]] = []
     for cp in sorted(map(ord, chars)):
@@ -122,9 +122,12 @@ class Transducer:
         # a Latin letter may be the strange one in a word of a script that has look-alikes
         scripts = {_script(c) for c in LOOKALIKES} - {"LATIN"}
         theirs = {c for c in map(chr, range(0x370, 0x590)) if _in_word(c) and _script(c) in scripts}
-        self.begins = re.compile(_class({*self.write, *LOOKALIKES, *self.order, *theirs}))
+        self.first = frozenset((*self.write, *LOOKALIKES, *self.order, *theirs))
+        self.begins = re.compile(_class(self.first))
 
     def rewrite(self, text: str) -> str:
+        if self.first.isdisjoint(text):
+            return text
         out: list[str] = []
         at = 0
         while m := self.begins.search(text, at):

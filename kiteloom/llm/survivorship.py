@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
+from ..session import Scratch
+
 #: Runs from the most to the least trusted.
 TRUST = ("fs-recheck", "zs-recheck", "fs-nocheck", "zs-nocheck")
 #: What is written where there is no description, in lower case without spaces and brackets.
@@ -25,6 +27,8 @@ VOID = (
     "n/a", "na", "null", "none", "nil", "nan", "unknown", "undefined", "tbd", "todo", "nodescription", "seeabove", "sameasabove",
     "ditto", "empty", "missing", "placeholder", "notavailable", "notprovided", "无", "暂无", "同上", "无描述", "暂无描述", "未提供", "待补充", "未知", "不详", "略", "空", "见上",
 )
+#: Distinct values of a key up to which the rules between any two are asked for.
+FEW = 16
 #: Ends of a sentence.
 ENDS = "[.。!！?？]"
 
@@ -182,11 +186,16 @@ def currency_rank(rows: DataFrame) -> DataFrame:
 
     Only the precedences among one key's distinct values are listed together, never its rows.
     """
-    values = rows.where("mention_key is not null and canonical_name is not null").select("mention_key", "canonical_name").distinct()
-    rules = value_precedence(rows)
-    a = values.select("mention_key", F.col("canonical_name").alias("before"))
-    b = values.select("mention_key", F.col("canonical_name").alias("after"))
-    held = a.join(rules, "before").join(b, ["mention_key", "after"])
+    scratch = Scratch(rows.sparkSession, "currency")
+    values = scratch.cut(rows.where("mention_key is not null and canonical_name is not null").select("mention_key", "canonical_name").distinct())
+    rules = scratch.cut(value_precedence(rows))
+    sized = values.groupBy("mention_key").agg(F.count("*").alias("d"))
+    # a key of a few values asks for the rules between them; one of many looks its values' rules up, and keeps those between two
+    few = values.join(sized.where((F.col("d") > 1) & (F.col("d") <= FEW)), "mention_key").groupBy("mention_key").agg(F.collect_list("canonical_name").alias("vs"))
+    pairs = few.select("mention_key", F.explode("vs").alias("before"), "vs").select("mention_key", "before", F.explode("vs").alias("after")).where("before != after")
+    many = values.join(sized.where(F.col("d") > FEW).select("mention_key"), "mention_key")
+    a, b = many.select("mention_key", F.col("canonical_name").alias("before")), many.select("mention_key", F.col("canonical_name").alias("after"))
+    held = pairs.join(rules, ["before", "after"]).select("mention_key", "support", "before", "after").union(a.join(rules, "before").join(b, ["mention_key", "after"]).select("mention_key", "support", "before", "after"))
     ranks = held.groupBy("mention_key").agg(F.collect_list(F.struct("support", "before", "after")).alias("edges")).select("mention_key", F.explode(_ranks("edges")).alias("x"))
     ranked = ranks.select("mention_key", F.col("x.value").alias("canonical_name"), F.col("x.rank").cast("double").alias("currency"))
     return values.join(ranked, ["mention_key", "canonical_name"], "left").fillna(0.0, ["currency"])

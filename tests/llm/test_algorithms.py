@@ -92,7 +92,9 @@ def test_currency_orders_rows_without_time(spark):
     assert (pick("oldest"), pick("currency")) == (20, 21)
 
 
-def test_the_topologically_latest_value_is_taken(spark):
+@pytest.mark.parametrize("few", [16, 0])
+def test_the_topologically_latest_value_is_taken(spark, monkeypatch, few):
+    monkeypatch.setattr(survivorship, "FEW", few)
     # a is followed by b ten times and b by c once: c is the latest, though b has more support
     steps = [("a", "b")] * 10 + [("b", "c")]
     known = [(10 * k + i, f"k{k}", v, None, None, v, "fs-recheck", 1 + i) for k, pair in enumerate(steps) for i, v in enumerate(pair)]
