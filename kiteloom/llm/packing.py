@@ -13,7 +13,7 @@ import base64
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
@@ -26,23 +26,29 @@ PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 _encoders: dict[str, object] = {}
 
 
-def encoder(vocabulary: str):
-    """The tokenizer of a vocabulary file of ranks, made once a worker."""
+def ranks_of(vocabulary: str) -> dict[bytes, int]:
+    """The ranks in a vocabulary file, which only the driver needs to reach."""
+    with open(vocabulary, "rb") as f:
+        return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+
+
+def encoder(vocabulary: str, ranks: dict[bytes, int]):
+    """The tokenizer of a vocabulary's ranks, made once a worker."""
     if vocabulary not in _encoders:
         import tiktoken
 
-        with open(vocabulary, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
         _encoders[vocabulary] = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
     return _encoders[vocabulary]
 
 
-def token_count(text: Column, vocabulary: str = VOCABULARY) -> Column:
-    """Tokens of a text; null stays null. Strings of special tokens count as ordinary text."""
+def token_count(spark: SparkSession, text: Column, vocabulary: str = VOCABULARY) -> Column:
+    """Tokens of a text; null stays null. Strings of special tokens count as ordinary text. The ranks (about a megabyte) are
+    broadcast."""
+    shared = spark.sparkContext.broadcast(ranks_of(vocabulary))
 
     @F.pandas_udf(IntegerType())
     def count(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        enc = encoder(vocabulary)
+        enc = encoder(vocabulary, shared.value)
         for s in parts:
             yield pd.Series([None if x is None else len(enc.encode_ordinary(x)) for x in s], dtype="Int32")
 
@@ -101,7 +107,7 @@ def pack(
     scratch = Scratch(spark, "packing")
     shown = F.length(F.regexp_replace(F.col(text), r"(?U)[\s\p{Cf}\p{Mn}\x00-\x1f]+", "")) > 0
     counted = scratch.cut(
-        documents.where(shown).select(F.col(doc_id).cast("bigint").alias("doc_id"), token_count(F.col(text), vocabulary).alias("n")).where("n > 0")
+        documents.where(shown).select(F.col(doc_id).cast("bigint").alias("doc_id"), token_count(spark, F.col(text), vocabulary).alias("n")).where("n > 0")
     )
     rows = counted.count()
     groups = max(1, -(-rows // group_size))

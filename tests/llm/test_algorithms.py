@@ -266,7 +266,7 @@ def test_pack_keeps_documents_whole(spark):
     texts = ["word " * n for n in (1, 3, 500, 40, 40, 40, 7)] + [None, "", " \n\u200b", "中文" * 30, "word " * 40]
     docs = spark.createDataFrame([(i if i < 11 else 5, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, container_id string")
     got = packing.pack(docs, capacity=64, group_size=4).toPandas()
-    count = {i: len(packing.encoder(packing.VOCABULARY).encode_ordinary(t)) for i, t in enumerate(texts) if t and t.strip(" \n\u200b")}
+    count = {i: len(packing.encoder(packing.VOCABULARY, packing.ranks_of(packing.VOCABULARY)).encode_ordinary(t)) for i, t in enumerate(texts) if t and t.strip(" \n\u200b")}
     assert got.groupby("container_id")["n_tokens"].sum().max() <= 64
     for i, n in count.items():
         i = min(i, 11) if i != 11 else 5
