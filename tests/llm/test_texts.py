@@ -358,3 +358,21 @@ def test_abuse_without_labels(spark):
 
 def test_plain_undoes_hiding():
     assert abuse.plain("h@rdc0r3") == "hardcore" and abuse.plain("r-e-t-a-r-d") == "retard" and abuse.plain("dumbasssss") == "dumbas" and abuse.plain("脑 残") == "脑残" and abuse.plain("lоѕеr") == "loser"
+
+
+def test_line_classifiers_learn_furniture_and_cuts():
+    from kiteloom.llm import lines
+
+    rng = random.Random(3)
+    words = frozenset(f"{a}{b}{c}" for a in ("net", "proto", "band", "rout") for b in ("work", "col", "width", "er") for c in ("", "ing", "ed")) | {"and", "long", "short", "the", "of"}
+    listed = sorted(words)
+    pages = [[" ".join(rng.choice(listed) for _ in range(9)) for _ in range(8)] for _ in range(120)]
+    reader = scans.Reader({}, {}, {}, set())
+    describe = lambda page, i, known: reader.about(page, i, {}, known)
+    judge = lines.train(pages, ["courseofnetworks", "routingforeveryone"], words, describe)
+    page = ["Course of Networks  12", *pages[0]]
+    assert judge.furniture(reader.about(page, 0, {}, {"courseofnetworks"})) > 0.5 > judge.furniture(reader.about(page, 1, {}, {"courseofnetworks"}))
+    assert judge.cut(lines.cut_features("proto", "col", 1, words)) > 0.5 and judge.cut(lines.cut_features("netw", "xrking", 1, words)) > 0.5
+    assert judge.cut(lines.cut_features("networking", "and", 1, words)) < 0.5  # short- and long-lived
+    nothing = lines.train([], [], frozenset(), describe)
+    assert nothing.furniture(reader.about(page, 0, {}, set())) <= 0.5
