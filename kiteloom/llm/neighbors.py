@@ -287,7 +287,7 @@ def similar_pairs(nodes: DataFrame, least: float = 0.9, top: int = 5, **options)
     return Collection(nodes, **options).pairs(least, top)
 
 
-def search(collection: Collection, queries: DataFrame, k: int = 5, beam: int = 128, width: int = 16, entries: int = 64, trees: int = 4) -> DataFrame:
+def search(collection: Collection, queries: DataFrame, k: int = 5, beam: int = 96, width: int = 96, entries: int = 64, trees: int = 4) -> DataFrame:
     """``node_id, neighbor, cosine, rank``: of each query (``node_id`` of a usable row) about its k most similar other nodes.
 
     Greedy search on the graph: a query starts at the best of ``entries`` vertices, taken by a hash, of its leaf in each of the
