@@ -374,7 +374,7 @@ def selected(first: str | None, last: str | None, no_graph: bool) -> list[str]:
 
 def pipeline(spark: SparkSession, config: dict) -> int:
     """Stages one after the other; one that fails ends the run with its code."""
-    run = config["run"]["qmr"]
+    run = config["run"]["pipeline"]
     for name in selected(run["from_stage"], run["to_stage"], bool(run["no_neo4j"])):
         print(f"=== {name} ===", flush=True)
         if done := STAGES[name](spark, config):

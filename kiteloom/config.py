@@ -11,7 +11,7 @@ log = logging.getLogger(__name__)
 
 #: Sections of ``run`` and what they hold if the file says nothing.
 DEFAULTS: dict[str, dict] = {
-    "qmr": {"from_stage": None, "to_stage": None, "no_neo4j": False},
+    "pipeline": {"from_stage": None, "to_stage": None, "no_neo4j": False},
     "pdf_to_png": {"input_file": None, "pdf_dir": "data/pdf", "image_dir": "data/png", "dpi": 200, "recursive": False, "libreoffice": "libreoffice", "ppt_timeout": 300},
     "png_to_text": {"input_file": None, "output": None, "image_dir": "data/png", "text_dir": "data/markdown", "recursive": True, "lang": "ch", "gpu": False, "force_ocr": False},
     "md_chunk": {"input_file": None, "output": None, "markdown_dir": "data/markdown", "chunk_dir": "data/chunks", "max_tokens": 4000, "recursive": False},

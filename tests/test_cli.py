@@ -44,7 +44,7 @@ def test_stages(first, last, no_graph, want):
 def test_stages_run_in_order_and_stop_at_a_failure(monkeypatch, capsys):
     seen = []
     monkeypatch.setattr(cli, "STAGES", {n: lambda s, c, n=n: seen.append(n) or (3 if n == "kgextract" else 0) for n in cli.STAGES})
-    assert cli.pipeline(None, {"run": {"qmr": {"from_stage": "mdchunk", "to_stage": None, "no_neo4j": False}}}) == 3
+    assert cli.pipeline(None, {"run": {"pipeline": {"from_stage": "mdchunk", "to_stage": None, "no_neo4j": False}}}) == 3
     assert seen == ["mdchunk", "kgextract"] and "exited with 3" in capsys.readouterr().err
 
 
@@ -66,7 +66,7 @@ def test_from_documents_to_the_graph(spark, tmp_path, capsys):
     page = "# 协议\n\n课文把滑动窗口与停等协议作了对比。比较滑动窗口与拥塞窗口。"
     (d / "pdf/net.pdf").write_text(f"{page}|滑动窗口依赖停等协议。|dark")
     (d / "pdf/lost.pdf").write_bytes(b"bad")
-    paths = f"  qmr: {{no_neo4j: false}}\n  pdf_to_png: {{pdf_dir: {d}/pdf, image_dir: {d}/png}}\n  png_to_text: {{image_dir: {d}/png, text_dir: {d}/md}}\n  kg_md_combine: {{markdown_dir: {d}/md}}\n  md_chunk: {{markdown_dir: {d}/md, chunk_dir: {d}/chunks}}\n  kg_extract: {{input: {d}/chunks, output_dir: {d}/triples/raw}}\n  kg_merge: {{input_dir: {d}/triples/raw, output: {d}/merged.json}}\n  kg_neo4j: {{import_file: {d}/merged.json, uri: {d}/graph, stats: true}}\n"
+    paths = f"  pipeline: {{no_neo4j: false}}\n  pdf_to_png: {{pdf_dir: {d}/pdf, image_dir: {d}/png}}\n  png_to_text: {{image_dir: {d}/png, text_dir: {d}/md}}\n  kg_md_combine: {{markdown_dir: {d}/md}}\n  md_chunk: {{markdown_dir: {d}/md, chunk_dir: {d}/chunks}}\n  kg_extract: {{input: {d}/chunks, output_dir: {d}/triples/raw}}\n  kg_merge: {{input_dir: {d}/triples/raw, output: {d}/merged.json}}\n  kg_neo4j: {{import_file: {d}/merged.json, uri: {d}/graph, stats: true}}\n"
     assert run(spark, d, "pdftopng", paths) == 0 and (d / "png/net/net_page_0003.png").read_bytes() == b"dark"
     assert run(spark, d, "pngtotext", paths) == 1  # one page fails
     assert "nothing to see" in capsys.readouterr().err and not (d / "md/net/net_page_0003.md").exists()
@@ -125,7 +125,7 @@ def test_from_documents_to_the_graph(spark, tmp_path, capsys):
     [
         ("pdftopng", "  pdf_to_png: {pdf_dir: /none}\n", "not found"), ("mdchunk", "  md_chunk: {output: x}\n", "requires run.md_chunk.input_file"), ("mdchunk", "  md_chunk: {markdown_dir: /none}\n", "not found"),
         ("kgextract", "  kg_extract: {mode: other}\n", "mode must be one of"), ("kgeval", "", "gold must be set"), ("kgevalraw", "", "gold must be set"), ("kgeval", "  kg_eval: {pred: /none, gold: /none}\n", "pred file not found"),
-        ("run", "  qmr: {from_stage: kgmerge, to_stage: mdchunk}\n", "must not be after"), ("kgneo4j", "  kg_neo4j: {import_file: null}\n", "must be set"),
+        ("run", "  pipeline: {from_stage: kgmerge, to_stage: mdchunk}\n", "must not be after"), ("kgneo4j", "  kg_neo4j: {import_file: null}\n", "must be set"),
     ],
 )
 def test_errors(spark, tmp_path, capsys, command, section, said):
