@@ -2,6 +2,7 @@ import itertools
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -157,6 +158,30 @@ def test_similar_pairs_against_brute_force(spark):
     assert {p for p in got if set(p) <= copies} == {p for p in want if set(p) <= copies}
 
 
+def test_crowded_leaves_are_met_in_pieces(spark, monkeypatch):
+    """A sample too small for leaves of the size asked for: pieces keep to it, and the rounds make good what pieces part."""
+    monkeypatch.setattr(neighbors, "SAMPLE", 32)
+    m = clouds(1500, 16, 2).astype(np.float32)
+    df = spark.createDataFrame([(i, m[i].tolist()) for i in range(len(m))], "node_id long, embedding array<float>")
+    c = neighbors.Collection(df, dim=16, leaf=40)
+    assert c.trees.depth <= 2  # at most 4 leaves for 1,500 vectors
+    got = {(r["node_a"], r["node_b"]) for r in c.pairs(0.9, 5).collect()}
+    want = brute(list(range(len(m))), m.astype(np.float64), 0.9, 5)
+    assert len(got & want) / len(want) >= 0.9 and len(got & want) / len(got) >= 0.9
+
+
+def test_pieces_keep_groups_apart_and_are_of_one_size():
+    rng = np.random.default_rng(1)
+    leaves = np.sort(np.concatenate([np.repeat(k, n) for k, n in ((0, 3), (1, 250), (2, 1), (3, 40))]))
+    df = pd.DataFrame({"leaf": leaves, "u": np.arange(len(leaves))})
+    for _ in range(20):
+        cuts = np.sort(rng.integers(0, len(df), 6))
+        parts = [df.iloc[a:b] for a, b in zip([0, *cuts], [*cuts, len(df)])]
+        got = list(neighbors._pieces(iter(parts), ["leaf"], 20))
+        assert all(g["leaf"].nunique() == 1 and len(g) < 40 for g in got) and pd.concat(got)["u"].tolist() == df["u"].tolist()
+        assert all(len(g) >= 20 for g in got if g["leaf"].iloc[0] in (1, 3))
+
+
 def test_similar_pairs_of_few(spark):
     one = spark.createDataFrame([(1, [1.0, 0.0])], "node_id long, embedding array<float>")
     assert neighbors.similar_pairs(one, dim=2).collect() == []
@@ -293,4 +318,10 @@ def test_greedy_search_against_brute_force(spark):
         s[q] = -2
         hit += sum(s[v] >= np.sort(s)[-5] for v in mine)
     assert len(got) == 24 * 5 and hit / len(got) >= 0.9
+    exact = neighbors.nearest_exact(c, df.where("node_id % 50 = 0"), k=5, block=7).toPandas()
+    for q, mine in exact.groupby("node_id"):
+        s = np.round(u @ u[q], 6)
+        s[q] = -2
+        assert sorted(mine["rank"]) == [1, 2, 3, 4, 5] and np.allclose(np.sort(mine["cosine"])[::-1], np.sort(s)[::-1][:5], atol=1e-5)
+    assert neighbors.nearest_exact(c, df.limit(0)).count() == 0
     assert set(got[got["node_id"] == 50]["neighbor"]) <= set(range(49, 60)) and neighbors.search(c, df.limit(0)).count() == 0
