@@ -9,6 +9,7 @@ its neighbours and what the corpus tells of it; these are few and mostly yes or
 from __future__ import annotations
 
 import functools
+from collections.abc import Callable
 
 import numpy as np
 
@@ -41,8 +42,9 @@ def _misread(rng: np.random.Generator, s: str) -> str:
     return s[:i] + "xqzjkv"[int(rng.integers(6))] + s[i + 1 :]
 
 
-def train(pages: list[list[str]], keys: list[str], words: frozenset[str], describe, seed: int = 4) -> Lines:
-    """From clean pages (lines), the corpus's running lines by key, and its frequent words.
+def train(pages: list[list[str]], keys: list[str], words: frozenset[str], describe, seed: int = 4, look_up: Callable[[set[str]], frozenset[str]] | None = None) -> Lines:
+    """From clean pages (lines), the corpus's running lines by key, and words to cut; ``look_up(asked)`` holds those of the asked
+    words that are frequent in the corpus, by default those of ``words``.
 
     ``describe(lines, i, known)`` gives the features of line i where the keys of ``known`` are running lines of the page's book.
     """
@@ -74,8 +76,7 @@ def train(pages: list[list[str]], keys: list[str], words: frozenset[str], descri
         # the page's own edges, and a line within
         for i in (full[0], full[-1], full[int(rng.integers(len(full)))]):
             add(lines, i, own, 0)
-    cuts: list[tuple[float, ...]] = []
-    cut_labels: list[int] = []
+    made: list[tuple[str, str, str, str, int]] = []
     long = [w for w in listed if len(w) >= 5]
     for _ in range(4 * len(pages) if len(long) > 10 else 0):
         w, other = long[int(rng.integers(len(long)))], listed[int(rng.integers(len(listed)))]
@@ -83,6 +84,12 @@ def train(pages: list[list[str]], keys: list[str], words: frozenset[str], descri
         a, b = w[:k], w[k:]
         if rng.random() < 0.3:  # a cut word may be misread or not be frequent
             a, b = (_misread(rng, a), b) if rng.random() < 0.5 else (a, _misread(rng, b))
+        made.append((a, b, w, other, gap))
+    if look_up is not None and made:
+        words = look_up({x for a, b, w, other, _ in made for x in (a + b, a, b, a + other, w + other, w, other)})
+    cuts: list[tuple[float, ...]] = []
+    cut_labels: list[int] = []
+    for a, b, w, other, gap in made:
         cuts.append(cut_features(a, b, gap, words))
         cut_labels.append(1)
         if a + other not in words and w + other not in words:

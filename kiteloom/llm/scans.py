@@ -15,7 +15,7 @@ import re
 import unicodedata as ud
 from bisect import bisect_right
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 from itertools import chain
 
@@ -32,7 +32,7 @@ from .markup import _inline
 
 #: Entries of a table of corrections that are broadcast.
 BLOCK = 1_000_000
-#: Frequent words on which the ranker of corrections is trained, at most; all words are ranked.
+#: Frequent words on which the ranker of corrections and the classifier of cuts are trained, at most; all words are ranked and looked up.
 MOST_WORDS = 3000
 #: What scanners take characters for, as (read, meant).
 CONFUSIONS = (("c", "e"), ("0", "o"), ("5", "s"), ("1", "l"), ("!", "i"), ("li", "h"), ("ii", "u"), ("9", "g"), ("vv", "w"), ("rn", "m"), ("cl", "d"), ("1", "i"), ("8", "b"), ("6", "b"), ("|", "l"), ("o", "0"), ("nn", "m"), ("tl", "h"), ("f", "t"), ("m", "rn"), ("h", "li"), ("u", "ii"), ("w", "vv"))
@@ -529,7 +529,7 @@ class Reader:
         return sorted(out)
 
     def asked(self, text: str, src: str, page: int | None, titles: list[str], keys: set[str], starts: dict[str, int]) -> set[tuple[str, str, str]]:
-        """All that is looked up in a text: words as (word, "", "") and contexts."""
+        """All that is looked up in a text: words as (word, "", ""), what cuts are judged by as (word, "", "often") and contexts."""
         lines = _mask(text)
         skip = set(self.furniture(lines, src, page, titles, keys, starts))
         out = set()
@@ -537,6 +537,7 @@ class Reader:
             out.update((w, "", "") for w in found)
             if cut:
                 out.add((cut[0] + cut[2], "", ""))
+                out.update((w, "", "often") for w in (cut[0] + cut[2], cut[0], cut[2]))
         for run, _ in _runs(lines, skip):
             out.update((run[m.start() - 1], m.group(), run[m.end()]) for m in _CJK.finditer(run))
         return out
@@ -636,8 +637,8 @@ def _with_running(rows: DataFrame, everywhere: DataFrame, blocks: int) -> DataFr
     return rows.join(found.groupBy("uid").agg(F.collect_set("b").alias("running")), "uid", "left")
 
 
-def _with_fixes(rows: DataFrame, words: DataFrame, contexts: DataFrame, lines: tuple) -> DataFrame:
-    """``rows``, which have a ``uid``, with the corrections (a, b, c, meant) that the text of each one asks for."""
+def _with_fixes(rows: DataFrame, words: DataFrame, contexts: DataFrame, frequent: DataFrame, lines: tuple) -> DataFrame:
+    """``rows``, which have a ``uid``, with the corrections and frequent words (a, b, c, meant) that the text of each one asks for."""
     shared = rows.sparkSession.sparkContext.broadcast(lines)
 
     def ask(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -648,12 +649,14 @@ def _with_fixes(rows: DataFrame, words: DataFrame, contexts: DataFrame, lines: t
     asked = rows.mapInPandas(ask, "uid bigint, a string, b string, c string")
     none = F.lit("")
     known = words.select(F.col("word").alias("a"), none.alias("b"), none.alias("c"), "meant").union(contexts.select("p", "ch", "n", "meant"))
+    known = known.union(frequent.select("a", none, F.lit("often"), none))
     fixes = asked.join(known, ["a", "b", "c"]).groupBy("uid").agg(F.collect_list(F.struct("a", "b", "c", "meant")).alias("fixes"))
     return rows.join(fixes, "uid", "left")
 
 
-def _judge(rows: DataFrame, everywhere: DataFrame, frequent: frozenset[str]) -> Lines:
-    """The classifiers of line pairs, trained on a sample of pages by a hash of their ids."""
+def _judge(rows: DataFrame, everywhere: DataFrame, words: frozenset[str], look_up: Callable[[set[str]], frozenset[str]]) -> Lines:
+    """The classifiers of line pairs, trained on a sample of pages by a hash of their ids and on cuts of ``words``; ``look_up``
+    gives those of some words that are frequent."""
     n = rows.count()
     chance = F.pmod(F.xxhash64("src", "row_id"), F.lit(1 << 40)) < int((1 << 40) * min(1.0, MOST_PAGES / max(1, n)))
     taken = rows.where(chance).collect()[:MOST_PAGES]
@@ -670,7 +673,7 @@ def _judge(rows: DataFrame, everywhere: DataFrame, frequent: frozenset[str]) ->
     def describe(lines: list[str], i: int, known: set[str]) -> tuple[float, ...]:
         return reader.about(lines, i, {j: "page_number" for j, x in enumerate(lines) if page_number(x) is not None}, known)
 
-    return train_lines(pages, keys, frequent, describe)
+    return train_lines(pages, keys, words, describe, look_up=look_up)
 
 
 def _read(pages: DataFrame | None, chunks: DataFrame | None, out: str, each) -> DataFrame:
@@ -692,9 +695,18 @@ def _read(pages: DataFrame | None, chunks: DataFrame | None, out: str, each) ->
     contexts, always = scratch.cut(contexts), scratch.cut(always)
     chars = {r["ch"]: r["meant"] for r in always.where("share >= 0.6").collect()}  # one row a character
     rows = texts.join(profile, "book", "left").select("src", "row_id", "page", "titles", "text", "profile")
-    frequent = frozenset(r["a"] for r in counted.where("what = 'word' and n >= 5").where(F.col("a").rlike(r"^\p{L}+$")).orderBy(F.desc("n"), "a").limit(MOST_WORDS).collect())
-    judge = _judge(rows, everywhere, frequent)
-    w, c, seen, whole = {}, {}, set(), max(words.count(), contexts.count()) <= BLOCK
+    frequent = scratch.cut(counted.where("what = 'word' and n >= 5").where(F.col("a").rlike(r"^\p{L}+$")).select("a", "n"))
+    w, c, often, seen, whole = {}, {}, frozenset(), set(), max(words.count(), contexts.count(), frequent.count()) <= BLOCK
+    if whole:
+        often = frozenset(r["a"] for r in frequent.select("a").collect())
+
+    def look_up(asked: set[str]) -> frozenset[str]:
+        if whole:
+            return often
+        some = spark.createDataFrame([(x,) for x in sorted(asked)], "a string")
+        return frozenset(r["a"] for r in frequent.join(F.broadcast(some), "a", "left_semi").select("a").collect())
+
+    judge = _judge(rows, everywhere, frozenset(r["a"] for r in frequent.orderBy(F.desc("n"), "a").limit(MOST_WORDS).collect()), look_up)
     blocks = -(-everywhere.count() // BLOCK)
     if not whole or blocks > 1:
         rows = scratch.cut(rows.withColumn("uid", F.monotonically_increasing_id()))
@@ -706,8 +718,8 @@ def _read(pages: DataFrame | None, chunks: DataFrame | None, out: str, each) ->
         w = {r["word"]: r["meant"] for r in words.collect()}
         c = {(r["p"], r["ch"], r["n"]): r["meant"] for r in contexts.collect()}
     else:
-        rows = _with_fixes(rows, words, contexts, (seen, judge, frequent))
-    shared = spark.sparkContext.broadcast((w, c, chars, seen, judge, frequent))
+        rows = _with_fixes(rows, words, contexts, frequent, (seen, judge))
+    shared = spark.sparkContext.broadcast((w, c, chars, seen, judge, often))
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Reader(*shared.value)
@@ -718,7 +730,8 @@ def _read(pages: DataFrame | None, chunks: DataFrame | None, out: str, each) ->
             for r in pdf.itertuples(index=False):
                 if not whole:
                     fixes = [] if r.fixes is None else r.fixes
-                    reader.words = {x["a"]: x["meant"] for x in fixes if not x["b"]}
+                    reader.words = {x["a"]: x["meant"] for x in fixes if not x["b"] and not x["c"]}
+                    reader.frequent = frozenset(x["a"] for x in fixes if not x["b"] and x["c"])
                     reader.contexts = {(x["a"], x["b"], x["c"]): x["meant"] for x in fixes if x["b"]}
                 found += [(r.src, r.row_id, *x) for x in each(reader, _arguments(r))]
             yield pd.DataFrame(found, columns=[f.split()[0] for f in out.split(", ")])

@@ -297,6 +297,37 @@ def test_lines_running_in_many_books_beyond_one_block(spark, monkeypatch, rows):
     assert rows(scans.noise_lines(df, None)) == want
 
 
+def cut_words_of_a_large_vocabulary(rng):
+    """Texts with 3,100 frequent words, stems and compounds of two, and 30 less frequent ones; at the end ten of the latter that
+    are compounds are cut between their stems, and of the others ten stand before a hyphen after which another one follows."""
+    def made(n, make):
+        out = {}  # in the order made
+        while len(out) < n:
+            out[make()] = None
+        return list(out)
+
+    word = lambda k: "".join(rng.choice("bdfgklmnprstvz") + rng.choice("aeiou") for _ in range(k))
+    stems = made(1100, lambda: word(2))
+    pairs = made(2010, lambda: (rng.choice(stems), rng.choice(stems)))
+    whole, seldom = pairs[2000:], made(20, lambda: word(3))
+    text = (stems + [a + b for a, b in pairs[:2000]]) * 12 + ([a + b for a, b in whole] + seldom) * 6
+    rng.shuffle(text)
+    texts = ["\n".join(" ".join(text[j : j + 10]) for j in range(i, min(i + 200, len(text)), 10)) for i in range(0, len(text), 200)]
+    cuts = [f"{stems[50]} {stems[51]} {a}-\n{b} {stems[52]} {stems[53]}" for a, b in [*whole, *zip(seldom[:10], seldom[10:])]]
+    return texts + cuts, {(len(texts) + i, 1, "hyphen") for i in range(10)}, len(texts)
+
+
+@pytest.mark.parametrize("block", [None, 100])
+def test_all_frequent_words_tell_cuts_from_compounds(spark, monkeypatch, block):
+    texts, want, first = cut_words_of_a_large_vocabulary(random.Random(5))
+    if block:
+        monkeypatch.setattr(scans, "BLOCK", block)
+    c = chunks_of(spark, texts)
+    assert {tuple(r)[1:] for r in scans.noise_lines(None, c).where(f"kind = 'hyphen' and row_id >= {first}").collect()} == want
+    fixed = {r["row_id"]: r["text"] for r in scans.repaired(None, c).where(f"row_id >= {first}").collect()}
+    assert {i for i, x in fixed.items() if "-" not in x} == {i for i, _, _ in want}
+
+
 def test_no_confusion_is_lost_among_ordinary_differences(spark):
     # 5,041 differences between ordinary words, all with more support than the confusion vv/w
     letters = [a + b for a in "abdefghijklmnopqrst"[:9] for b in "abcdefgh"][:71]
