@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -216,31 +218,50 @@ def overlapping(gold: DataFrame, pred: DataFrame) -> DataFrame:
     return same.union(within).union(around)
 
 
-def _reduce(pred: DataFrame, gold: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+def _reduce(pred: DataFrame, gold: DataFrame, keys: list[str], names: list[str], given: str = "true") -> DataFrame:
     """Counts of gold rows with a close predicted one and of predicted rows without a close gold one: relation and types
-    equal, and each of ``names`` overlapping. Repeated rows count as often as they come but are compared once."""
+    equal, and each of ``names`` (one or two) overlapping. Only rows that ``given`` holds for count; repeated ones count as often
+    as they come but are compared once.
+
+    A row that the other side has too is met by it. Only the others are looked for: under the other side's first names close to
+    theirs, and there either under the second names close to theirs or among the rows, whichever are fewer. So a frequent
+    pair of first names never brings all its rows together.
+    """
     scratch = Scratch(pred.sparkSession, "relaxed")
-    one = lambda df, a: scratch.cut(df.groupBy(*keys).agg(F.count("*").alias(f"{a}_n")).withColumnsRenamed({c: f"{a}_{c}" for c in names}))
-    p, g = one(pred, "p"), one(gold, "g")
+    side = lambda df, a: df.select(*keys, *[F.lit(int(s == a)).alias(f"{s}_n") for s in "pg"])
+    both = side(pred, "p").union(side(gold, "g")).groupBy(*keys).agg(F.sum("p_n").alias("p_n"), F.sum("g_n").alias("g_n"))
+    m = scratch.cut(both).where(given)  # filters on names are kept from running Python on all that the rows come from
     same = [c for c in keys if c not in names]
-    hits = g
-    for c in names:
-        close = overlapping(g.select(F.col(f"g_{c}").alias("g")), p.select(F.col(f"p_{c}").alias("p"))).toDF(f"g_{c}", f"p_{c}")
-        hits = hits.join(close, f"g_{c}").join(p, [f"p_{c}", *same]) if hits is g else hits.join(close, [f"g_{c}", f"p_{c}"])
-    found = scratch.cut(hits)
-    side = lambda a: [*same, *[f"{a}_{c}" for c in names], f"{a}_n"]
+    named = " and ".join(f"{c} != ''" for c in names)
+    near = {c: scratch.cut(overlapping(m.where("g_n > 0").select(F.col(c).alias("g")), m.where("p_n > 0").select(F.col(c).alias("p")))) for c in names}
+
+    def met(a: str, b: str) -> DataFrame:
+        """Rows of side ``a`` that side ``b`` doesn't have but has a close one of."""
+        rest = m.where(f"{a}_n > 0 and {b}_n = 0 and {named}").select(*keys, F.col(f"{a}_n").alias("n"))
+        other = m.where(f"{b}_n > 0").select(*same, *[F.col(c).alias(f"o_{c}") for c in names])
+        close = {c: near[c].select(F.col(a).alias(c), F.col(b).alias(f"o_{c}")) for c in names}
+        first, *more = names
+        held = other.groupBy(*same, f"o_{first}").agg(F.count("*").alias("rows"))
+        hits = rest.join(close[first], first).join(held, [*same, f"o_{first}"])
+        for c in more:
+            hits = scratch.cut(hits.join(close[c].groupBy(c).agg(F.count("*").alias("around")), c))
+            by_name = hits.where("around <= rows").join(close[c], c).join(other, [*same, f"o_{first}", f"o_{c}"], "left_semi")
+            by_row = hits.where("around > rows").join(other, [*same, f"o_{first}"]).join(close[c], [c, f"o_{c}"], "left_semi")
+            hits = by_name.select(*keys, "n").union(by_row.select(*keys, "n"))
+        return hits.select(*keys, "n").distinct()
+
     def total(df: DataFrame, n: str, kind: str) -> DataFrame:
         return df.agg(F.coalesce(F.sum(n), F.lit(0)).alias("n")).select(F.lit(kind).alias("kind"), "n")
-    met = {a: found.select(*side(a)).distinct() for a in "pg"}
-    rows = total(g, "g_n", "all_g").union(total(p, "p_n", "all_p")).union(total(met["g"], "g_n", "hit_g")).union(total(met["p"], "p_n", "hit_p"))
-    n = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("n"))).alias(kind)
+    equal = m.where(f"p_n > 0 and g_n > 0 and {named}").dropna(subset=same)
+    parts = [total(m, "g_n", "all_g"), total(m, "p_n", "all_p"), total(equal, "g_n", "hit_g"), total(equal, "p_n", "hit_p"), total(met("g", "p"), "n", "hit_g"), total(met("p", "g"), "n", "hit_p")]
+    rows = reduce(DataFrame.union, parts)
+    n = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("n"))).alias(kind)
     return rows.agg(*[n(k) for k in ("all_g", "all_p", "hit_g", "hit_p")]).select(*score(F.col("hit_g"), F.col("all_p") - F.col("hit_p"), F.col("all_g") - F.col("hit_g")))
 
 
 def substring_match(pred: DataFrame, gold: DataFrame) -> DataFrame:
     """Relation and types equal, ends inside one another either way; of normalised triples, those with an empty end left out."""
-    full = "head != '' and tail != ''"
-    return _reduce(pred.where(full), gold.where(full), TRIPLE, ["head", "tail"])
+    return _reduce(pred, gold, TRIPLE, ["head", "tail"], "head != '' and tail != ''")
 
 
 def head_relation_match(pred: DataFrame, gold: DataFrame) -> DataFrame:
