@@ -16,46 +16,83 @@ def usable_vector(e: Column, dim: int = 64) -> Column:
     return F.coalesce((F.size(e) == dim) & fine & F.exists(e, lambda x: x != 0), F.lit(False))
 
 
-def knn_candidates(vectors: DataFrame, threshold: float, k: int = 10, block: int = 2048, dim: int = 64) -> DataFrame:
+def knn_candidates(vectors: DataFrame, threshold: float, k: int = 10, block: int = 32768, dim: int = 64) -> DataFrame:
     """Pairs left_id < right_id of one type whose cosine reaches the threshold and of which the right one is among the
     left one's k nearest of that type (others than itself; equal scores by id). Exact; scores have six decimals.
 
-    Every vector meets every vector of its type, block by block, as one numpy product a block pair. The number of parts of a
-    type follows from its size, so a task holds about two times ``block`` vectors however large the type is, and only each block's k best
-    of a row leave it. All pairs are compared, which is what exact means; for more vectors than that allows there are approximate
-    graphs.
+    Every two vectors of a type meet once, block by block. The number of parts of a type follows from its size, so a task
+    holds about two times ``block`` vectors however large the type is, and only each block's k best of a row leave it. All pairs are
+    compared, which is what exact means; for more vectors than that allows there are approximate graphs.
+
+    Single precision tells, with room for its error, which pairs may reach the threshold; only those are scored, in double
+    precision, and put in order.
     """
     import numpy as np
     import pandas as pd
 
-    v = vectors.where(usable_vector(F.col("embedding"), dim) & F.col("type").isNotNull())
-    sizes = v.groupBy("type").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
-    v = v.select(F.col("node_id").alias("id"), "type", "embedding").join(sizes, "type").withColumn("b", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    others = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    left = v.withColumn("c", others).select("type", "b", "c", F.lit(0).alias("side"), "id", "embedding")
-    right = v.withColumnRenamed("b", "c").withColumn("b", others).select("type", "b", "c", F.lit(1).alias("side"), "id", "embedding")
+    sizes = vectors.where(F.col("type").isNotNull()).groupBy("type").agg(F.ceil(F.count("*") / block).cast("int").alias("parts")).where("parts > 1")  # few, whatever the number of types
+    v = vectors.where(usable_vector(F.col("embedding"), dim) & F.col("type").isNotNull()).select(F.col("node_id").alias("id"), "type", "embedding")
+    v = v.join(F.broadcast(sizes), "type", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    meeting = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda i: F.struct(F.least(i, "own").alias("b"), F.greatest(i, "own").alias("c"), (i < F.col("own")).alias("side")))
+    blocks = v.select("type", "id", "embedding", F.explode(meeting).alias("m")).select("type", "m.*", "id", "embedding")
+    room = (dim + 8) * 2.0**-23 + 5e-7  # of a product in single precision, and of rounding
+    height, width = 512, 2048  # what stays in a core's cache
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.stack([np.asarray(e, dtype=np.float64) for e in pdf["embedding"]])
+        x = np.stack(pdf["embedding"].to_numpy()).astype(np.float64)
         x /= np.maximum(np.sqrt((x * x).sum(1, keepdims=True)), 1e-12)
-        ids, side = pdf["id"].to_numpy(), pdf["side"].to_numpy()
-        a, b = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        if not len(a) or not len(b):
-            return pd.DataFrame({"left_id": ids[:0], "right_id": ids[:0], "score": np.zeros(0)})
-        b = b[np.argsort(ids[b])]
-        out = []
-        for i in range(0, len(a), 1024):
-            rows = a[i : i + 1024]
-            s = np.round(x[rows] @ x[b].T, 6)
-            s[ids[rows][:, None] == ids[b][None, :]] = -2
-            top = np.argsort(-s, axis=1, kind="stable")[:, :k]
-            score = np.take_along_axis(s, top, 1)
-            r, c = np.nonzero(score >= threshold)
-            out.append(pd.DataFrame({"left_id": ids[rows][r], "right_id": ids[b][top[r, c]], "score": score[r, c]}))
-        return pd.concat(out, ignore_index=True)
-
-    best = left.union(right).groupBy("type", "b", "c").applyInPandas(meet, "left_id bigint, right_id bigint, score double")
-    ranked = best.withColumn("r", F.row_number().over(W.partitionBy("left_id").orderBy(F.desc("score"), "right_id"))).where(F.col("r") <= k)
+        ids, side = pdf["id"].to_numpy(), pdf["side"].to_numpy(dtype=bool)
+        own = bool(pdf["b"].iloc[0] == pdf["c"].iloc[0])
+        del pdf
+        order = np.argsort(side, kind="stable")
+        x, ids, split = x[order], ids[order], len(side) if own else int((~side).sum())
+        single, buffer = x.astype(np.float32), np.empty(height * width, np.float32)
+        floor = np.full(len(x), threshold)  # no lower score is among a row's k best so far
+        none = np.zeros(0, dtype=np.int64)
+        left, right, score = [none], [none], [np.zeros(0)]
+
+        def best() -> None:
+            """Keeps each row's k best."""
+            a, b, s = np.concatenate(left), np.concatenate(right), np.concatenate(score)
+            order = np.lexsort((ids[b], -s, a))
+            a, b, s = a[order], b[order], s[order]
+            first = np.flatnonzero(np.r_[True, a[1:] != a[:-1]][: len(a)])
+            rank = np.arange(len(a)) - np.repeat(first, np.diff(np.r_[first, len(a)]))
+            floor[a[rank == k - 1]] = s[rank == k - 1]
+            left[:], right[:], score[:] = [a[rank < k]], [b[rank < k]], [s[rank < k]]
+
+        fresh = 0
+        for i in range(0, split, height):
+            n = min(height, split - i)
+            for j in range(i if own else split, len(x), width):
+                w = min(width, len(x) - j)
+                s = np.matmul(single[i : i + n], single[j : j + w].T, out=buffer[: n * w].reshape(n, w)).ravel()
+                at = np.flatnonzero(s >= threshold - room)
+                if not len(at):
+                    continue
+                a, b = at // w + i, at % w + j
+                may = (s[at] >= np.minimum(floor[a], floor[b]) - room) & (ids[a] != ids[b])
+                if own:
+                    may &= a < b
+                a, b = a[may], b[may]
+                if len(a) * 16 > n * w:
+                    t = np.round((x[i : i + n] @ x[j : j + w].T)[a - i, b - j], 6)
+                else:
+                    t = np.round(np.einsum("ij,ij->i", x[a], x[b]), 6)
+                for f, g in ((a, b), (b, a)):
+                    good = t >= floor[f]
+                    left.append(f[good])
+                    right.append(g[good])
+                    score.append(t[good])
+                    fresh += int(good.sum())
+                if fresh > 1_000_000:
+                    best()
+                    fresh = 0
+        best()
+        return pd.DataFrame({"left_id": ids[left[0]], "right_id": ids[right[0]], "score": score[0]})
+
+    near = blocks.groupBy("type", "b", "c").applyInPandas(meet, "left_id bigint, right_id bigint, score double")
+    ranked = near.withColumn("r", F.row_number().over(W.partitionBy("left_id").orderBy(F.desc("score"), "right_id"))).where(F.col("r") <= k)
     return ranked.where("left_id < right_id").select("left_id", "right_id", "score")
 
 

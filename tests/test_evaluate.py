@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from fakes import most_rows
 from kiteloom.operators import evaluate as V
 
 T = "head string, head_type string, relation string, tail string, tail_type string, evidenced boolean"
@@ -94,21 +95,10 @@ def test_a_frequent_head_does_not_bring_all_its_rows_together(spark):
     kinds = ("p", "contains")
     pred = [("tcp", *kinds, f"pred{i:03}", "c") for i in range(n)] + [("tcp", *kinds, "window", "c"), ("udp", *kinds, "same", "c")]
     gold = [("tcp", *kinds, f"gold{i:03}", "c") for i in range(n)] + [("tcp", *kinds, "windowsize", "c"), ("udp", *kinds, "same", "c")]
-    store = spark._jsparkSession.sharedState().statusStore()
-    before = store.executionsCount()
+    most = most_rows(spark)
     got = tuple(V.substring_match(V.normed(frame(spark, *pred)), V.normed(frame(spark, *gold))).first())[:3]
-    runs = store.executionsList()
-    most = 0
-    for i in range(before, runs.size()):
-        run = runs.apply(i).executionId()
-        said, nodes = store.executionMetrics(run), store.planGraph(run).allNodes()
-        for k in range(nodes.size()):
-            metrics = nodes.apply(k).metrics()
-            for j in range(metrics.size()):
-                v = said.get(metrics.apply(j).accumulatorId()) if metrics.apply(j).name() == "number of output rows" else None
-                most = max(most, int(v.get().replace(",", ""))) if v is not None and v.isDefined() else most
     assert got == (2, n, n)
-    assert n < most < 40 * n  # a few rows for each text's pairs of characters, not n for each row
+    assert n < most() < 40 * n  # a few rows for each text's pairs of characters, not n for each row
 
 
 def test_names_are_compared_in_their_compatibility_form(spark):

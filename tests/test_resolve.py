@@ -2,9 +2,11 @@ import itertools
 import json
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from fakes import most_rows
 from kiteloom.models import Scripted
 from kiteloom.operators import judging as J
 from kiteloom.operators import merge as M
@@ -199,3 +201,34 @@ def test_knn_candidates(spark, rows):
     df = spark.createDataFrame(v, "node_id long, type string, embedding array<float>")
     got = rows(R.knn_candidates(df, 0.75, k=3, block=2, dim=2), "left_id", "right_id")
     assert got == [(1, 2), (1, 8), (2, 3), (2, 8)]
+
+
+@pytest.mark.parametrize("block", [None, 1500])
+def test_knn_candidates_against_all_pairs(spark, rows, block):
+    """Many blocks and tiles, exact copies, a dense topic of which all pairs are close, and another type."""
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(4500, 4))
+    x[500:900] = x[0] + 0.01 * rng.normal(size=(400, 4))
+    x[900:1000] = x[1]
+    x = x.astype(np.float32)
+    kinds = np.where(np.arange(4500) % 9 == 0, "q", "p")
+    ids = rng.permutation(4500)
+    df = spark.createDataFrame([(int(i), str(t), e.tolist()) for i, t, e in zip(ids, kinds, x)], "node_id long, type string, embedding array<float>")
+    got = rows(R.knn_candidates(df, 0.99, k=5, dim=4, **({} if block is None else {"block": block})))
+    y = x.astype(float)
+    y /= np.sqrt((y * y).sum(1, keepdims=True))
+    want = []
+    for i in range(4500):
+        s = np.round(y @ y[i], 6)
+        near = sorted((-s[j], int(ids[j])) for j in np.flatnonzero((s >= 0.99) & (kinds == kinds[i])) if j != i)[:5]
+        want += [(int(ids[i]), j, -float(t)) for t, j in near if ids[i] < j]
+    assert [r[:2] for r in got] == [r[:2] for r in sorted(want, key=repr)]
+    assert np.allclose([r[2] for r in got], [r[2] for r in sorted(want, key=repr)], atol=1e-9)
+
+
+def test_vectors_of_a_type_meet_in_as_few_blocks_as_they_fit_in(spark):
+    x = np.random.default_rng(3).normal(size=(4500, 16)).astype(np.float32)
+    df = spark.createDataFrame([(i, "p", e.tolist()) for i, e in enumerate(x)], "node_id long, type string, embedding array<float>")
+    most = most_rows(spark)
+    assert R.knn_candidates(df, 0.95, dim=16).count() < 100
+    assert most() == 4500
